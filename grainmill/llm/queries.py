@@ -68,6 +68,25 @@ def p5_containers(spark: SparkSession, d: str) -> DataFrame:
     return containers(p5_assignment(spark, d))
 
 
+def _labelled(spark: SparkSession, d: str) -> DataFrame:
+    from grainmill.llm.langid import languages, train
+
+    c = table(spark, d, "corpus")
+    return languages(c, train(table(spark, d, "lang_samples"), c))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    """Missing and wrong language labels of the corpus, and lines in another language."""
+    from grainmill.llm.langid import label_errors
+
+    return label_errors(_labelled(spark, d))
+
+
+def p6_languages(spark: SparkSession, d: str) -> DataFrame:
+    """The language and confidence of every corpus row and of every line."""
+    return _labelled(spark, d).select("ord", "seg_no", "lang", "confidence", "n_chars")
+
+
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     """The token ids of each document under byte_bpe_50k."""
     from grainmill.llm.tokens import encode_documents
@@ -115,7 +134,7 @@ def p9_forms(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [p2_found, p2_groups, p4_token_budget, p4_document_tokens, p5_assignment, p5_containers, p7_ids, p8_mixture, p8_shares, p9_found, p9_forms]
+    own = [p2_found, p2_groups, p4_token_budget, p4_document_tokens, p5_assignment, p5_containers, p6_found, p6_languages, p7_ids, p8_mixture, p8_shares, p9_found, p9_forms]
     return {f.__name__: f for f in own}
 
 
