@@ -24,6 +24,20 @@ def p2_groups(spark: SparkSession, d: str) -> DataFrame:
     return NearDuplicates(table(spark, d, "corpus")).groups()
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of scanned files that are furniture or hold divided or misread words."""
+    from grainmill.llm.scans import line_noise
+
+    return line_noise(table(spark, d, "pdfs")).withColumn("line_no", F.col("line_no").cast("int"))
+
+
+def p3_paragraphs(spark: SparkSession, d: str) -> DataFrame:
+    """The readable paragraphs of scanned files."""
+    from grainmill.llm.scans import paragraphs
+
+    return paragraphs(table(spark, d, "pdfs"))
+
+
 def p4_token_budget(spark: SparkSession, d: str) -> DataFrame:
     """Tokens of the corpus by source, language and topic."""
     from grainmill.llm.tokens import token_budget
@@ -134,7 +148,7 @@ def p9_forms(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [p2_found, p2_groups, p4_token_budget, p4_document_tokens, p5_assignment, p5_containers, p6_found, p6_languages, p7_ids, p8_mixture, p8_shares, p9_found, p9_forms]
+    own = [p2_found, p2_groups, p3_found, p3_paragraphs, p4_token_budget, p4_document_tokens, p5_assignment, p5_containers, p6_found, p6_languages, p7_ids, p8_mixture, p8_shares, p9_found, p9_forms]
     return {f.__name__: f for f in own}
 
 
