@@ -10,6 +10,20 @@ from pyspark.sql import functions as F
 from grainmill.runtime import table
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    """Defective question-answer pairs, one defect each."""
+    from grainmill.llm.pairs import defects, one_defect
+
+    return one_defect(defects(table(spark, d, "sft_qa_llm"), table(spark, d, "lang_samples")))
+
+
+def p1_labels(spark: SparkSession, d: str) -> DataFrame:
+    """All labels of defective pairs, with posteriors."""
+    from grainmill.llm.pairs import defects
+
+    return defects(table(spark, d, "sft_qa_llm"), table(spark, d, "lang_samples"))
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     """All pairs of corpus rows with a similarity of 0.7 or more."""
     from grainmill.llm.neardup import NearDuplicates
@@ -148,7 +162,7 @@ def p9_forms(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [p2_found, p2_groups, p3_found, p3_paragraphs, p4_token_budget, p4_document_tokens, p5_assignment, p5_containers, p6_found, p6_languages, p7_ids, p8_mixture, p8_shares, p9_found, p9_forms]
+    own = [p1_found, p1_labels, p2_found, p2_groups, p3_found, p3_paragraphs, p4_token_budget, p4_document_tokens, p5_assignment, p5_containers, p6_found, p6_languages, p7_ids, p8_mixture, p8_shares, p9_found, p9_forms]
     return {f.__name__: f for f in own}
 
 
