@@ -32,11 +32,11 @@ REFUSALS = [
     # German
     r"\bich weiss (?:es|das|dies|hierzu|dazu)?\s?(?:leider )?nicht", r"\bweiss ich (?:leider )?nicht", r"\b(?:kann|darf|moechte|mochte|will|werde)\b[^.]{0,60}\bich\b[^.]{0,60}\b(?:nicht|nichts|kein\w*)\b", r"\bich\b[^.]{0,70}\b(?:nicht|nichts|keine?n?)\b[^.]{0,50}\b(?:beantworten|helfen|sagen|antworten|beantworte|aeussern|auskunft|weiterhelfen|unterstuetzen|geben|lage)", r"\b(?:nicht|keine?)\b[^.]{0,40}\b(?:helfen|beantworten|auskunft geben)\.?\Z", r"\bliegen mir\b[^.]{0,30}\bkeine", r"\bmir (?:fehlt|fehlen|liegen|ist)\b[^.]{0,60}\b(?:zugriff|informationen|angaben|daten|passen|nicht|keine)", r"\blaesst sich (?:das|die|diese|dies|hierzu)?[^.]{0,40}\bnicht (?:beantworten|sagen|entnehmen)", r"\bals (?:sprachmodell|ki|assistent)", r"\bmuss ich (?:leider )?(?:passen|ablehnen)\b", r"\bnichts\b[^.]{0,40}\b(?:erlaubt|gestattet) (?:es )?mir\b", r"\bbeantworte ich\b[^.]{0,30}\bnicht", r"\bueberfordert\b", r"\b(?:richtlinien|vorgaben|regeln|bestimmungen)\b[^.]{0,40}\b(?:untersagen|verbieten|erlauben|gestatten|nicht)\b", r"\bantwort\b[^.]{0,30}\b(?:nicht moeglich|unmoeglich|schuldig)", r"\btext\b[^.]{0,20}\b(?:steht|findet sich|gibt|sagt|enthaelt)\b[^.]{0,20}\b(?:nichts|keine?n?)\b", r"\b(?:text|angaben|kontext|passage|abschnitt|auszug)\b[^.]{0,60}\b(?:nicht|keine|nichts)\b[^.]{0,40}\b(?:hervor|antwort|beantworten|entnehmen|auskunft|enthalten|genug|ausreich\w*)",
     # English
-    r"\bi (?:do not|don't|dont|cannot|can't|cant|can not|am not|am unable|am sorry|won't|will not|would rather not|would prefer not)\b", r"\bi'm (?:sorry|afraid|not able|unable|only an|just an|not allowed|not in a position|not comfortable)\b", r"\bi'd (?:rather|prefer) not\b", r"\bas an? (?:ai|language model|artificial|assistant)\b", r"\b(?:guidelines|policy|policies|instructions|rules)\b[^.]{0,30}\b(?:not|forbid|prevent|prohibit)", r"\b(?:not enough|no|insufficient)\b[^.]{0,40}\b(?:context|information|details?)\b[^.]{0,40}\b(?:answer|say|me|reply|respond)", r"\b(?:text|passage|context)\b[^.]{0,60}\b(?:does not|doesn't|nothing|not)\b[^.]{0,40}\b(?:answer|say|mention|reply|contain|state|provide)", r"\bnothing in the\b[^.]{0,40}\blets me\b", r"\bno comment\b", r"\b(?:must|have to|need to) (?:decline|refuse|pass)\b", r"\binappropriate for me\b", r"\boutside (?:of )?what i\b", r"\b(?:not|isn't) (?:able|allowed|permitted|in a position) to\b", r"\b(?:answer|reply)\b[^.]{0,30}\b(?:impossible|not possible)\b", r"\bunable to (?:answer|help|respond|assist|comment|say|provide)", r"\bbeyond (?:me|my)\b",
+    r"\bi (?:do not|don't|dont|cannot|can't|cant|can not|am not|am unable|am sorry|won't|will not|would rather not|would prefer not)\b", r"\bi'm (?:sorry|afraid|not able|unable|only an|just an|not allowed|not in a position|not comfortable)\b", r"\bi'd (?:rather|prefer) not\b", r"\bas an? (?:ai|language model|artificial|assistant)\b", r"\b(?:guidelines|policy|policies|instructions|rules)\b[^.]{0,30}\b(?:not|forbid|prevent|prohibit)", r"\b(?:not enough|no|insufficient)\b[^.]{0,40}\b(?:context|information|details?)\b[^.]{0,40}\b(?:answer|say|me|reply|respond)", r"\b(?:text|passage|context)\b[^.]{0,60}\b(?:does not|doesn't|nothing|not)\b[^.]{0,40}\b(?:answer|say|mention|reply|contain|state|provide)", r"\bnothing in the\b[^.]{0,40}\blets me\b", r"\bno comment\b", r"\b(?:must|have to|need to) (?:decline|refuse|pass)\b", r"\binappropriate for me\b", r"\boutside (?:of )?what i\b", r"\b(?:not|isn't) (?:able|allowed|permitted|in a position) to\b", r"\b(?:answer|reply)\b[^.]{0,30}\b(?:impossible|not possible)\b", r"\bbeyond (?:me|my)\b",
     # French
     r"\bje (?:ne|n')\b[^.]{0,50}\b(?:pas|rien|aucun\w*)\b", r"\bje n'[^.]{0,50}\b(?:pas|rien|aucun\w*)\b", r"\bje prefere ne pas\b", r"\brien\b[^.]{0,40}\bne me permet\b", r"\bje (?:dois|prefere) (?:decliner|refuser|m'abstenir)", r"\bil m'est impossible\b", r"\bje suis (?:desole|incapable|dans l'impossibilite)", r"\ben tant (?:que|qu')\s?(?:modele|ia|intelligence|assistant)", r"\ble (?:texte|passage|contexte)\b[^.]{0,40}\b(?:ne|n')[^.]{0,50}\b(?:pas|rien|aucun\w*)\b", r"\bne (?:me )?permet(?:tent)? pas de\b[^.]{0,30}\b(?:repondre|dire)", r"\bimpossible de (?:repondre|vous)", r"\b(?:regles|consignes|directives)\b[^.]{0,40}\b(?:interdisent|permettent pas|empechent)", r"\breponse\b[^.]{0,40}\b(?:impossible|pas possible)",
     # Spanish
-    r"\bno (?:puedo|se(?= responder| que| nada|[.,]|\Z)|tengo|dispongo|estoy|debo|quiero|me es posible|me permite\w*|sabria|soy capaz|cuento)\b", r"\blo siento\b", r"\bprefiero no\b", r"\bnada\b[^.]{0,40}\bme permite\b", r"\b(?:debo|tengo que) (?:declinar|rechazar|abstenerme)", r"\bcomo (?:modelo|ia|asistente|inteligencia)\b", r"\bel (?:texto|pasaje|contexto|fragmento)\b[^.]{0,30}\bno\b", r"\bme (?:es|resulta) imposible\b", r"\b(?:normas|reglas|directrices|politicas)\b[^.]{0,40}\b(?:no|prohiben|impiden)\b", r"\brespuesta\b[^.]{0,40}\b(?:imposible|no es posible)", r"\bno (?:hay|existe\w*)\b[^.]{0,40}\b(?:suficiente\w*|informacion|datos|contexto)\b",
+    r"\bno (?:puedo|se(?= responder| que| nada|[.,]|\Z)|tengo|dispongo|estoy|debo|quiero|me es posible|me permite\w*|sabria|soy capaz|cuento)\b", r"\blo siento\b", r"\bprefiero no\b", r"\bnada\b[^.]{0,40}\bme (?:permite|deja)\b", r"\b(?:debo|tengo que) (?:declinar|rechazar|abstenerme)", r"\bcomo (?:modelo|ia|asistente|inteligencia)\b", r"\bel (?:texto|pasaje|contexto|fragmento)\b[^.]{0,30}\bno\b", r"\bme (?:es|resulta) imposible\b", r"\b(?:normas|reglas|directrices|politicas)\b[^.]{0,40}\b(?:no|prohiben|impiden)\b", r"\brespuesta\b[^.]{0,40}\b(?:imposible|no es posible)", r"\bno (?:hay|existe\w*)\b[^.]{0,40}\b(?:suficiente\w*|informacion|datos|contexto)\b",
     # Dutch
     r"\b(?:kan|mag|wil|weet|zal|durf|ga|laat|heb)\b[^.]{0,30}\bik\b[^.]{0,60}\b(?:niet|niets|geen|liever)\b", r"\bik\b[^.]{0,60}\b(?:niet|niets|geen)\b[^.]{0,50}", r"\bhet spijt me\b", r"\bniets\b[^.]{0,40}\blaat me\b", r"\bmoet ik (?:helaas )?(?:weigeren|passen|afzien)", r"\bals (?:taalmodel|ai|assistent)\b", r"\b(?:tekst|passage|context|fragment)\b[^.]{0,50}\b(?:geen|niet|niets)\b", r"\bvalt\b[^.]{0,30}\bgeen antwoord\b", r"\blaat ik me liever niet\b", r"\b(?:richtlijnen|regels|voorschriften)\b[^.]{0,40}\b(?:verbieden|niet|geen)\b", r"\bantwoord\b[^.]{0,40}\b(?:schuldig|niet mogelijk|onmogelijk)",
 ]
