@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import unicodedata
+import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -21,8 +21,11 @@ GROUPS = 64
 FANOUT = 16
 #: Rows of one block; larger blocks are cut into chunks and every pair of chunks becomes a block.
 BLOCK = 256
-#: Buckets of the frequency sketch (2 to this power); 4 MB to broadcast, whatever the data's size.
-SKETCH_BITS = 20
+
+#: What the sketch holds for a bucket with one shingle.
+ONCE = 12
+#: Bits of the filter of keys whose texts are read again; it lets some others pass, which a join then leaves out.
+FILTER_BITS = 23
 
 
 def words_of(text: str) -> list[str]:
@@ -120,132 +123,262 @@ def tree_pairs(vectors: np.ndarray, sizes: np.ndarray, threshold: float, side: n
     return np.concatenate(out) if out else np.empty((0, 2), dtype=np.int64)
 
 
-def _sketch(df: DataFrame, k: int) -> np.ndarray:
-    """How many shingles fall into each bucket, over all texts; saturates at 255, as only the order of rare ones matters.
+def sketch_bits(n_texts: int) -> int:
+    """Buckets for the shingles of so many texts: 2 to the power of 18 to 24, so at most 16 MB to broadcast."""
+    return int(min(24, max(18, np.ceil(np.log2(max(n_texts, 1) * 128)))))
+
+
+def _sketch(df: DataFrame, k: int, bits: int) -> np.ndarray:
+    """How many shingles fall into each bucket, over all texts, as a byte on a logarithmic scale.
 
-    Each task sends its buckets in 64 pieces, which are added up in the executors; the driver gets the fixed-size sum.
+    It only decides which shingles count as rare, so that its noise costs time and never a pair. Each task sends its
+    buckets in 64 pieces, which are added up in the executors; the driver gets the sum, whose size is fixed.
     """
-    size, parts = 1 << SKETCH_BITS, 64
+    size, parts = 1 << bits, 64
 
     def count(batches):
-        total = np.zeros(size, dtype=np.int64)
+        total = np.zeros(size, dtype=np.int32)
         sh = Shingler(k)
         for batch in batches:
-            for s in sh.sets([x for x in batch.column(0).to_pylist() if x]):
-                np.add.at(total, (s & np.uint64(size - 1)).astype(np.int64), 1)
+            sets = sh.sets(batch.column(0).to_pylist())
+            if sets:
+                np.add.at(total, (np.concatenate(sets) & np.uint64(size - 1)).astype(np.int64), 1)
         if total.any():
-            small = np.minimum(total, 65535).astype(np.uint16).reshape(parts, -1)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(parts, dtype=np.int32)), pa.array([x.tobytes() for x in small], pa.binary())], names=["piece", "counts"])
+            small = np.minimum(total, 255).astype(np.uint8).reshape(parts, -1)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(parts, dtype=np.int32)), pa.array([zlib.compress(x.tobytes(), 1) for x in small], pa.binary())], names=["piece", "counts"])
 
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(size // parts, dtype=np.int64)
-        for x in pdf["counts"]:
-            total += np.frombuffer(x, dtype=np.uint16)
-        return pd.DataFrame({"piece": [pdf["piece"].iloc[0]], "counts": [np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes()]})
-
-    rows = df.mapInArrow(count, "piece int, counts binary").groupBy("piece").applyInPandas(add, "piece int, counts binary").collect()
-    out = np.zeros((parts, size // parts), dtype=np.uint32)
+    def add(batches):
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for piece, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                own = total.setdefault(piece, np.zeros(size // parts, dtype=np.int64))
+                own += np.frombuffer(zlib.decompress(x), dtype=np.uint8)
+        if total:
+            scaled = {p: np.minimum(np.round(np.log2(t + 1) * ONCE), 255).astype(np.uint8).tobytes() for p, t in total.items()}
+            yield pa.RecordBatch.from_arrays([pa.array(list(scaled), pa.int32()), pa.array(list(scaled.values()), pa.binary())], names=["piece", "counts"])
+
+    rows = df.mapInArrow(count, "piece int, counts binary").repartition("piece").mapInArrow(add, "piece int, counts binary").collect()
+    out = np.zeros((parts, size // parts), dtype=np.uint8)
     for r in rows:
-        out[r["piece"]] = np.frombuffer(r["counts"], dtype=np.uint32)
+        out[r["piece"]] = np.frombuffer(r["counts"], dtype=np.uint8)
     return out.ravel()
 
 
+def _packed(v: np.ndarray) -> bytes:
+    """Counts as bytes if all fit, else as 32-bit numbers."""
+    return v.astype(np.uint8).tobytes() if not len(v) or v.max() < 256 else v.astype(np.uint32).tobytes()
+
+
+def _unpacked(b: bytes) -> np.ndarray:
+    return np.frombuffer(b, dtype=np.uint8 if len(b) == GROUPS else np.uint32)
+
+
+def _shared(a: bytes, b: bytes) -> int:
+    """How many 40-bit hashes two packed sets share."""
+    x, y = (np.ascontiguousarray(np.frombuffer(s, dtype="V5")) for s in (a, b))
+    wide = np.zeros((len(x) + len(y), 8), dtype=np.uint8)
+    wide[: len(x), :5] = x.view(np.uint8).reshape(-1, 5)
+    wide[len(x) :, :5] = y.view(np.uint8).reshape(-1, 5)
+    return len(wide) - len(np.unique(wide.view(np.int64)))
+
+
+def _runs(batches, n_keys: int):
+    """Rows sorted by their first columns, as (keys, other columns, bounds of runs of equal keys); a run that goes on in
+    the next batch is held back. Runs are blocks and so bounded."""
+    held = None
+    for batch in batches:
+        cols = [np.asarray(c) if pa.types.is_integer(c.type) else np.array(c.to_pylist(), dtype=object) for c in batch.columns]
+        if held is not None:
+            cols = [np.concatenate(x) for x in zip(held, cols)]
+        n = len(cols[0])
+        if not n:
+            continue
+        change = np.zeros(n - 1, dtype=bool)
+        for c in cols[:n_keys]:
+            change |= c[1:] != c[:-1]
+        at = np.concatenate([[0], np.flatnonzero(change) + 1])
+        held = [c[at[-1] :] for c in cols]
+        yield cols[:n_keys], cols[n_keys:], at
+    if held is not None:
+        yield held[:n_keys], held[n_keys:], np.array([0, len(held[0])])
+
+
+def _key_filter(hashes: DataFrame) -> np.ndarray:
+    """Which buckets hold one of the hashes; a fixed size at any number of them."""
+
+    def mark(batches):
+        bits = np.zeros(1 << FILTER_BITS, dtype=bool)
+        for batch in batches:
+            bits[(np.asarray(batch.column(0)).view(np.uint64) & np.uint64(len(bits) - 1)).astype(np.int64)] = True
+        if bits.any():
+            yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(np.packbits(bits).tobytes(), 1)], pa.binary())], names=["bits"])
+
+    def merge(batches):
+        total = np.zeros(1 << (FILTER_BITS - 3), dtype=np.uint8)
+        for batch in batches:
+            for x in batch.column(0).to_pylist():
+                total |= np.frombuffer(zlib.decompress(x), dtype=np.uint8)
+        yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())], names=["bits"])
+
+    rows = hashes.mapInArrow(mark, "bits binary").coalesce(8).mapInArrow(merge, "bits binary").collect()  # 8 rows at most
+    out = np.zeros(1 << (FILTER_BITS - 3), dtype=np.uint8)
+    for r in rows:
+        out |= np.frombuffer(zlib.decompress(r["bits"]), dtype=np.uint8)
+    return np.unpackbits(out).astype(bool)
+
+
 class NearDuplicates:
-    """``members`` (key, sig, size), ``pairs`` (sig_a, sig_b, similarity) between classes of equal shingle sets."""
+    """``members`` (key, sig, size, vector) of all texts; ``pairs`` (sig_a, sig_b, similarity) between classes of equal
+    shingle sets.
+
+    Null and blank texts and null keys are left out; equal texts are one class, so that no number of copies makes a
+    group hot; an empty table gives no rows. All pairs of the similarity or more are found, whatever a group's size.
+    """
 
     def __init__(self, df: DataFrame, key: str = "ord", text: str = "text", threshold: float = 0.7, k: int = 5):
         self.key, self.text, self.threshold, self.k = key, text, threshold, k
         self.spark = df.sparkSession
         self.texts = df.select(F.col(key).alias("_k"), F.col(text).cast("string").alias("_t")).filter(F.col("_k").isNotNull() & ~F.col("_t").rlike(r"(?U)\A[\s\x1c-\x1f]*\z"))
-        self.members = materialize(self._signatures())
+        self.signed = materialize(self._signatures(df.count()))
+        self.members = self.signed.select("_k", "sig", "size", "vector")
         self.pairs = materialize(self._pairs())
 
-    def _signatures(self) -> DataFrame:
-        """One row per text: the key, a 64-bit signature of its set, the set's size, and the hashes of its prefix.
+    def _signatures(self, n_texts: int) -> DataFrame:
+        """One row per text: the key, a 64-bit signature of its set, the set's size, its count vector, and its prefix.
 
-        Under one order of all shingles (rare ones by the sketch first), two sets of similarity t share a shingle among
-        the first n - ceil(t n) + 1 of each.
+        Under one order of all shingles (rare ones by the sketch first), two sets of similarity t share a shingle that is
+        among the first n - ceil(t n) + 1 of the larger and the first n - ceil(2t/(1+t) n) + 1 of the smaller. The prefix
+        holds 5-byte hashes; the first number is the length of the shorter part. A task writes the prefix of equal sets
+        once; unequal shingles that share a hash are sorted out when pairs are verified.
         """
-        sketch = self.spark.sparkContext.broadcast(_sketch(self.texts.select("_t"), self.k))
-        k, threshold = self.k, self.threshold
-        schema = self.texts.select("_k").schema.add("sig", "long").add("size", "integer").add("prefix", T.ArrayType(T.LongType()))
+        sketch = self.spark.sparkContext.broadcast(_sketch(self.texts.select("_t"), self.k, sketch_bits(n_texts)))
+        k, t = self.k, self.threshold
+        schema = self.texts.select("_k").schema.add("sig", "long").add("size", "integer").add("vector", "binary").add("prefix", "binary")
 
         def sign(batches):
             freq = sketch.value
+            mask = np.uint64(len(freq) - 1)
             sh = Shingler(k)
+            seen: set[int] = set()
             for batch in batches:
-                sigs, sizes, prefixes = [], [], []
+                sigs, sizes, vectors, prefixes = [], [], [], []
                 for s in sh.sets(batch.column(1).to_pylist()):
-                    f = freq[(s & np.uint64(len(freq) - 1)).astype(np.int64)]
-                    first = len(s) - int(np.ceil(threshold * len(s) - 1e-9)) + 1
-                    p = s[np.lexsort((s, f))[:first]] if first < len(s) else s
-                    sigs.append(xxhash.xxh3_64_intdigest(s.tobytes()))
-                    sizes.append(len(s))
-                    prefixes.append(p.view(np.int64))
-                ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
-                flat = np.concatenate(prefixes) if prefixes else np.empty(0, np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(sigs, dtype=np.uint64).view(np.int64)), pa.array(np.array(sizes, dtype=np.int32)), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=schema.names)
+                    n = len(s)
+                    sig = xxhash.xxh3_64_intdigest(s.tobytes()) & ~1  # the lowest bit is used below
+                    sigs.append(sig)
+                    sizes.append(n)
+                    vectors.append(_packed(count_vector(s)))
+                    if sig in seen:
+                        prefixes.append(None)
+                        continue
+                    if len(seen) > 500_000:
+                        seen.clear()
+                    seen.add(sig)
+                    longer = min(n, n - int(np.ceil(t * n - 1e-9)) + 1)
+                    shorter = min(n, n - int(np.ceil(2 * t / (1 + t) * n - 1e-9)) + 1)
+                    f = freq[(s & mask).astype(np.int64)]
+                    order = np.lexsort((s, f))[:longer]
+                    shared = f[order] > ONCE  # a bucket of one shingle holds nothing that two texts share
+                    p = s[order[shared]]
+                    prefixes.append(np.uint32(shared[:shorter].sum()).tobytes() + p.view(np.uint8).reshape(-1, 8)[:, 3:].tobytes())
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(sigs, dtype=np.uint64).view(np.int64)), pa.array(np.array(sizes, dtype=np.int32)), pa.array(vectors, pa.binary()), pa.array(prefixes, pa.binary())], names=schema.names)
 
         return self.texts.select("_k", "_t").mapInArrow(sign, schema)
 
-    def _vectors(self, sigs: DataFrame) -> DataFrame:
-        """``sig, size, vector, hashes`` of the classes in ``sigs``, from one text of each."""
-        k = self.k
-        rep = self.members.join(sigs, "sig", "left_semi").groupBy("sig").agg(F.min("_k").alias("_k"))
-        schema = "sig bigint, size int, vector binary, hashes array<bigint>"
-
-        def vectors(batches):
-            sh = Shingler(k)
-            for batch in batches:
-                sets = sh.sets(batch.column(1).to_pylist())
-                ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-                flat = (np.concatenate(sets) if sets else np.empty(0, np.uint64)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int32()), pa.array([count_vector(s).tobytes() for s in sets], pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["sig", "size", "vector", "hashes"])
-
-        return self.texts.join(rep, "_k").select("sig", "_t").mapInArrow(vectors, schema)
-
     def _blocks(self) -> DataFrame:
-        """``block, sig, side``: small groups of classes that share a prefix shingle; side 2 meets everyone.
+        """``block, sig, side``: groups of classes that share a prefix shingle; side 2 meets everyone.
 
         Groups above ``BLOCK`` rows are numbered and cut into chunks; each pair of chunks is a block of its own, so no
         task holds an unbounded group. Groups with the same classes are kept once.
         """
-        classes = self.members.groupBy("sig").agg(F.first("prefix").alias("prefix"))
-        rows = classes.select("sig", F.explode("prefix").alias("h"))
+
+        def spread(batches):
+            for batch in batches:
+                sigs, prefixes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+                hs, n, first = [np.empty(0, np.int64)], [], [np.empty(0, np.int64)]
+                for p in prefixes:
+                    raw = np.frombuffer(p, dtype=np.uint8, offset=4).reshape(-1, 5)
+                    wide = np.zeros((len(raw), 8), dtype=np.uint8)
+                    wide[:, :5] = raw
+                    hs.append(wide.view(np.int64).ravel())
+                    n.append(len(raw))
+                    first.append((np.arange(len(raw)) < int(np.frombuffer(p, dtype=np.uint32, count=1)[0])).astype(np.int64))
+                # the lowest bit: whether the set may be the smaller one of a pair by this shingle
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs)), pa.array(np.repeat(np.array(sigs, dtype=np.int64), n) | np.concatenate(first))], names=["h", "s"])
+
         by = W.partitionBy("h")
-        rows = rows.withColumn("n", F.count("*").over(by)).filter("n > 1")
-        small = rows.filter(F.col("n") <= BLOCK).groupBy("h").agg(F.sort_array(F.collect_list("sig")).alias("sigs")).select("sigs").distinct()
-        small = small.select(F.xxhash64(F.lit(0), "sigs").alias("block"), F.explode("sigs").alias("sig"), F.lit(2).alias("side"))
-        large = rows.filter(F.col("n") > BLOCK).withColumn("c", ((F.row_number().over(by.orderBy("sig")) - 1) / BLOCK).cast("int"))
-        large = large.withColumn("last", ((F.col("n") - 1) / BLOCK).cast("int"))
-        large = large.withColumn("d", F.explode(F.sequence(F.lit(0), F.col("last"))))
+        rows = self.signed.filter("prefix is not null").select("sig", "prefix").mapInArrow(spread, "h bigint, s bigint").repartition("h").dropDuplicates(["h", "s"])
+        groups = rows.groupBy("h").agg(F.count("*").alias("n"), F.max(F.col("s").bitwiseAND(F.lit(1))).alias("smaller")).filter("n > 1 and smaller = 1")
+        rows = rows.join(groups.select("h", "n"), "h")
+        rows = rows.withColumn("c", ((F.row_number().over(by.orderBy("s")) - 1) / BLOCK).cast("int"))
+        rows = rows.withColumn("d", F.explode(F.sequence(F.lit(0), ((F.col("n") - 1) / BLOCK).cast("int"))))
         lo, hi = F.least("c", "d"), F.greatest("c", "d")
-        large = large.select(F.xxhash64(F.lit(1), "h", lo, hi).alias("block"), "sig", F.when(lo == hi, 2).when(F.col("c") == lo, 0).otherwise(1).alias("side"))
-        return small.unionByName(large)
+        side = F.when(lo == hi, 2).when(F.col("c") == lo, 0).otherwise(1)
+        rows = rows.select("h", lo.alias("lo"), hi.alias("hi"), F.col("s").bitwiseAND(F.lit(~1)).alias("sig"), side.alias("side")).sortWithinPartitions("h", "lo", "hi", "sig")
+
+        def gather(batches):
+            for keys, (sig, side), at in _runs(batches, 3):
+                ids, members = [], []
+                for i, j in zip(at[:-1].tolist(), at[1:].tolist()):
+                    own = sig[i:j].tobytes() + side[i:j].astype(np.uint8).tobytes()
+                    ids.append(xxhash.xxh3_64_intdigest(own))
+                    members.append(own)
+                yield pa.RecordBatch.from_arrays([pa.array(np.array(ids, dtype=np.uint64).view(np.int64)), pa.array(members, pa.binary())], names=["block", "members"])
+
+        def scatter(batches):
+            for batch in batches:
+                ids, members = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+                n = np.array([len(m) // 9 for m in members], dtype=np.int64)
+                sig = np.concatenate([np.frombuffer(m, dtype=np.int64, count=k) for m, k in zip(members, n)]) if members else np.empty(0, np.int64)
+                side = np.concatenate([np.frombuffer(m, dtype=np.uint8, offset=8 * k) for m, k in zip(members, n)]) if members else np.empty(0, np.uint8)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(ids, dtype=np.int64), n)), pa.array(sig), pa.array(side.astype(np.int32))], names=["block", "sig", "side"])
+
+        return rows.mapInArrow(gather, "block bigint, members binary").dropDuplicates(["block"]).mapInArrow(scatter, "block bigint, sig bigint, side int")
 
     def _pairs(self) -> DataFrame:
-        threshold = self.threshold
-        blocks = materialize(self._blocks())
-        sets = materialize(self._vectors(blocks.select("sig").distinct()))
-        points = blocks.join(sets.select("sig", "size", "vector"), "sig").groupBy("block").agg(F.collect_list(F.struct("sig", "size", "vector", "side")).alias("m"))
+        threshold, k = self.threshold, self.k
+        classes = self.signed.filter("prefix is not null").select("sig", "size", "vector")
+        points = self._blocks().join(classes, "sig").select("block", "sig", "size", "side", "vector").repartition("block").sortWithinPartitions("block", "sig")
 
         def candidates(batches):
-            for batch in batches:
-                found = []
-                for m in batch.column(0).to_pylist():
-                    v = np.frombuffer(b"".join(x["vector"] for x in m), dtype=np.int32).reshape(len(m), -1)
-                    side = np.array([x["side"] for x in m])
-                    p = tree_pairs(v, np.array([x["size"] for x in m]), threshold, None if side[0] == 2 else side)
-                    found += [(m[i]["sig"], m[j]["sig"]) for i, j in p.tolist()]
-                found = [(min(x), max(x)) for x in found]
+            for _, (sig, size, side, vector), at in _runs(batches, 1):
+                found = set()
+                for i, j in zip(at[:-1].tolist(), at[1:].tolist()):
+                    _, keep = np.unique(sig[i:j], return_index=True)  # a class may have been written by several tasks
+                    own = keep + i
+                    v = np.stack([_unpacked(vector[x]) for x in own]).astype(np.int32)
+                    pairs = tree_pairs(v, size[own].astype(np.int64), threshold, None if side[i] == 2 else side[own])
+                    found.update((min(x, y), max(x, y)) for x, y in zip(sig[own[pairs[:, 0]]].tolist(), sig[own[pairs[:, 1]]].tolist()))
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], names=["sig_a", "sig_b"])
 
-        pairs = points.select("m").mapInArrow(candidates, "sig_a bigint, sig_b bigint").distinct()
+        pairs = materialize(points.mapInArrow(candidates, "sig_a bigint, sig_b bigint").distinct())
+        sigs = pairs.select(F.col("sig_a").alias("sig")).union(pairs.select("sig_b")).distinct()
+        rep = materialize(self.members.join(sigs, "sig", "left_semi").groupBy("sig").agg(F.min("_k").alias("_k")))
+        wanted = self.spark.sparkContext.broadcast(_key_filter(rep.select(F.xxhash64("_k"))))
+
+        def hashes(batches):
+            sh, bits = Shingler(k), wanted.value
+            for batch in batches:
+                at = np.asarray(batch.column(2)).view(np.uint64) & np.uint64(len(bits) - 1)
+                own = batch.filter(pa.array(bits[at.astype(np.int64)]))
+                sets = [s.view(np.uint8).reshape(-1, 8)[:, 3:].tobytes() for s in sh.sets(own.column(1).to_pylist())]
+                yield pa.RecordBatch.from_arrays([own.column(0), pa.array(sets, pa.binary())], names=["_k", "hashes"])
+
+        schema = self.texts.select("_k").schema.add("hashes", "binary")
+        read = self.texts.select("_k", "_t", F.xxhash64("_k").alias("x")).mapInArrow(hashes, schema)
+        sets = materialize(read.join(rep, "_k").select("sig", "hashes"))
         a = sets.select(F.col("sig").alias("sig_a"), F.col("hashes").alias("ha"))
         b = sets.select(F.col("sig").alias("sig_b"), F.col("hashes").alias("hb"))
-        both = F.size(F.array_intersect("ha", "hb"))
-        pairs = pairs.join(a, "sig_a").join(b, "sig_b").select("sig_a", "sig_b", (both / (F.size("ha") + F.size("hb") - both)).alias("similarity"))
-        return pairs.filter(F.col("similarity") >= threshold - 1e-12)
+
+        def verify(batches):
+            for batch in batches:
+                x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+                both = np.array([_shared(p, q) for p, q in zip(x, y)], dtype=np.float64)
+                n = np.array([(len(p) + len(q)) // 5 for p, q in zip(x, y)], dtype=np.float64)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(both / np.maximum(n - both, 1))], names=["sig_a", "sig_b", "similarity"])
+
+        joined = pairs.join(a, "sig_a").join(b, "sig_b").select("sig_a", "sig_b", "ha", "hb")
+        return joined.mapInArrow(verify, "sig_a bigint, sig_b bigint, similarity double").filter(F.col("similarity") >= threshold - 1e-12)
 
     def row_pairs(self) -> DataFrame:
         """``ord_a, ord_b``: all pairs of rows, equal texts included."""
