@@ -17,13 +17,13 @@ from pyspark.sql import functions as F
 from grainmill.llm.labels import clean_lang
 
 LANGS = ("de", "en", "es", "fr", "nl")
-HIDDEN = 16
+HIDDEN = 12
 #: Bytes of a window: longer lines are cut, at a blank if there is one, and all windows are read.
 WINDOW = 96
 #: Labelled rows of the corpus used for training besides the language samples: the first so many per language in the
 #: order of a hash of their key. The bound of the training sample; everything else reads all rows.
-SAMPLE_PER_LANG = 300
-STEPS = 1400
+SAMPLE_PER_LANG = 150
+STEPS = 700
 BATCH = 96
 #: By how much the pooled score of another language must beat the document's language before a line is labelled with
 #: it, in nats per line.
@@ -59,8 +59,8 @@ class Network:
             self.w["E" + d][:, :h] -= 1.0  # slow updates at first
         self.w["b"] = np.zeros(len(LANGS), dtype=np.float32)
 
-    def _run(self, x: np.ndarray, live: np.ndarray, d: str, keep: bool):
-        """States over time for columns sorted by falling length; ``live[t]`` columns are read at step t."""
+    def _run(self, x: np.ndarray, live: np.ndarray, d: str):
+        """States and gates over time for columns sorted by falling length; ``live[t]`` columns are read at step t."""
         h2 = 2 * self.hidden
         E, U = self.w["E" + d], self.w["U" + d]
         Uzr, Un = np.ascontiguousarray(U[:, :h2]), np.ascontiguousarray(U[:, h2:])
@@ -82,10 +82,38 @@ class Network:
             np.subtract(n, h, out=o)
             o *= z
             o += h
-            if keep:
-                saved.append((z, r, rh, n))
+            saved.append((z, r, rh, n))
         return out, saved
 
+    def _states(self, x: np.ndarray, live: np.ndarray, d: str) -> np.ndarray:
+        """The states of ``_run`` with the gate's slope and offset folded into the weights, in buffers that are kept."""
+        H, h2 = self.hidden, 2 * self.hidden
+        E, U = self.w["E" + d].copy(), self.w["U" + d].copy()
+        E[:, :h2] = 0.25 * E[:, :h2] + 0.5
+        U[:, :h2] *= 0.25
+        Uzr, Un = np.ascontiguousarray(U[:, :h2]), np.ascontiguousarray(U[:, h2:])
+        Ezr, En = np.ascontiguousarray(E[:, :h2]), np.ascontiguousarray(E[:, h2:])
+        T, B = x.shape
+        out = np.zeros((T + 1, B, H), dtype=np.float32)
+        g, m = np.empty((B, h2), np.float32), np.empty((B, h2), np.float32)
+        n, rh = np.empty((B, H), np.float32), np.empty((B, H), np.float32)
+        for t in range(T):
+            k = live[t]
+            h, o, gk, mk, nk, rk = out[t, :k], out[t + 1, :k], g[:k], m[:k], n[:k], rh[:k]
+            np.take(Ezr, x[t, :k], axis=0, out=gk, mode="clip")
+            np.dot(h, Uzr, out=mk)
+            gk += mk
+            np.clip(gk, 0, 1, out=gk)
+            np.multiply(gk[:, H:], h, out=rk)
+            np.take(En, x[t, :k], axis=0, out=nk, mode="clip")
+            np.dot(rk, Un, out=o)
+            nk += o
+            np.tanh(nk, out=nk)
+            np.subtract(nk, h, out=o)
+            o *= gk[:, :H]
+            o += h
+        return out
+
     def train(self, windows: list[bytes], labels: np.ndarray, weight: np.ndarray, steps: int = STEPS, batch: int = BATCH, seed: int = 7) -> None:
         """Adam on the mean cross-entropy of all positions; backpropagation through the whole window."""
         rng = np.random.default_rng(seed)
@@ -111,7 +139,7 @@ class Network:
         back = _reversed(x, live)
         out, saved = {}, {}
         for d, xs in (("f", x), ("b", back)):
-            out[d], saved[d] = self._run(xs, live, d, True)
+            out[d], saved[d] = self._run(xs, live, d)
         lengths = (np.arange(T)[:, None] < np.array([(live > c).sum() for c in range(B)])[None, :]).sum(0)
         mask = np.arange(T)[:, None] < lengths[None, :]
         place = np.where(mask, lengths[None, :] - 1 - np.arange(T)[:, None], 0)
@@ -147,7 +175,7 @@ class Network:
             grad["E" + d], grad["U" + d] = gE, gU
         return grad
 
-    def pooled(self, windows: list[bytes], at_once: int = 3072) -> tuple[np.ndarray, np.ndarray]:
+    def pooled(self, windows: list[bytes], at_once: int = 2048) -> tuple[np.ndarray, np.ndarray]:
         """Sums over each window's positions of the log-probabilities and of the probabilities of the languages."""
         n = len(windows)
         logs, probs = np.zeros((n, len(LANGS)), np.float32), np.zeros((n, len(LANGS)), np.float32)
@@ -158,24 +186,24 @@ class Network:
             own = own[sub]
             if not len(x):
                 continue
-            hf, _ = self._run(x, live, "f", False)
-            hb, _ = self._run(_reversed(x, live), live, "b", False)
+            hf = self._states(x, live, "f")
+            hb = self._states(_reversed(x, live), live, "b")
             T, B = x.shape
-            lf = hf[1:].reshape(-1, self.hidden) @ self.w["Vf"]
-            lb = hb[1:].reshape(-1, self.hidden) @ self.w["Vb"]
-            lf, lb = lf.reshape(T, B, -1), lb.reshape(T, B, -1)
+            # one row per language, as reductions over a short last axis are slow
             lengths = _lengths(live, B)
-            mask = np.arange(T)[:, None] < lengths[None, :]
-            place = np.where(mask, lengths[None, :] - 1 - np.arange(T)[:, None], 0)
-            logits = lf + lb[place, np.arange(B)[None, :]] + self.w["b"]
-            logits -= logits.max(-1, keepdims=True)
-            e = np.exp(logits)
-            total = e.sum(-1, keepdims=True)
-            logits -= np.log(total)
-            e /= total
-            logits *= mask[:, :, None]
-            e *= mask[:, :, None]
-            logs[own], probs[own] = logits.sum(0), e.sum(0)
+            place = lengths[None, :] - 1 - np.arange(T)[:, None]
+            mask = (place >= 0).astype(np.float32).ravel()
+            back = np.where(place >= 0, place * B + np.arange(B)[None, :], 0).ravel()
+            y = self.w["Vf"].T @ hf[1:].reshape(-1, self.hidden).T
+            y += np.take(self.w["Vb"].T @ hb[1:].reshape(-1, self.hidden).T, back, axis=1)
+            y += self.w["b"][:, None]
+            y -= y.max(0)
+            e = np.exp(y)
+            total = e.sum(0)
+            y -= np.log(total)
+            e *= mask / total
+            y *= mask
+            logs[own], probs[own] = y.reshape(-1, T, B).sum(1).T, e.reshape(-1, T, B).sum(1).T
         return logs, probs
 
 
