@@ -1,6 +1,277 @@
-def queries():
-    return {}
+"""The queries over the given tables, by name."""
 
+from __future__ import annotations
 
-def oracle_sql():
-    return {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from grainmill.functions import text as T
+from grainmill.operators import dedup, filters, pack, qa, sft, split
+from grainmill.plans import pipeline
+from grainmill.plans.oracle import SQL
+from grainmill.runtime import table
+from grainmill.sources import readers
+
+SEQ_LEN = 2048
+
+
+def _corpus(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    return table(spark, d, "corpus").select(*(columns or ("ord", "text")))
+
+
+def corpus_min_length(spark: SparkSession, d: str) -> DataFrame:
+    """rows of 200 stripped characters, as they came."""
+    return filters.min_length(_corpus(spark, d), 200).select("ord", F.length("text").alias("n_chars"))
+
+
+def wiki_min_length(spark: SparkSession, d: str) -> DataFrame:
+    """Wiki rows of 200 characters, stored stripped."""
+    rows = _corpus(spark, d, "ord", "text", "source").filter("source = 'wikipedia'")
+    return filters.min_length(rows, 200, store_stripped=True).select("ord", F.length("text").alias("n_chars"), F.md5("text").alias("digest"))
+
+
+def pdf_min_length(spark: SparkSession, d: str) -> DataFrame:
+    """cleaned PDF texts of 500 characters."""
+    rows = table(spark, d, "pdfs").select("pdf_no", T.clean_pdf_text("text").alias("text"))
+    return rows.filter(F.length("text") >= 500).select("pdf_no", F.length("text").alias("n_chars"))
+
+
+def qa_min_chars(spark: SparkSession, d: str) -> DataFrame:
+    """rows of 300 characters, unstripped."""
+    return filters.min_chars(_corpus(spark, d)).select("ord")
+
+
+def not_blank(spark: SparkSession, d: str) -> DataFrame:
+    """rows with something besides white space."""
+    return filters.not_blank(_corpus(spark, d)).select("ord")
+
+
+def normalize_sha256(spark: SparkSession, d: str) -> DataFrame:
+    """The digest of each normalised text."""
+    return _corpus(spark, d).select("ord", dedup.document_key().alias("sha"))
+
+
+def exact_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """The first of equal documents."""
+    return dedup.exact_dedup(_corpus(spark, d)).select("ord")
+
+
+def dedup_status_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Documents by status."""
+    return dedup.status_counts(dedup.mark_exact(_corpus(spark, d)))
+
+
+def word_shingles(spark: SparkSession, d: str) -> DataFrame:
+    """The number of each text's shingles and the least of them."""
+    norm = _corpus(spark, d).select("ord", T.normalize("text").alias("t"))  # no lambda may hold a Python function
+    grams = norm.select("ord", T.word_shingles("t").alias("g"))
+    return grams.select("ord", F.size("g").cast("bigint").alias("n"), F.array_min("g").alias("least"))
+
+
+def minhash_signature(spark: SparkSession, d: str) -> DataFrame:
+    """A digest of each text's band keys."""
+    return _corpus(spark, d).select("ord", F.md5(F.array_join(dedup.band_keys(T.normalize("text")), ",")).alias("digest"))
+
+
+def lsh_buckets(spark: SparkSession, d: str) -> DataFrame:
+    """D3: buckets that several documents share."""
+    firsts = dedup.exact_dedup(_corpus(spark, d))
+    return dedup.bucket_sizes(dedup.buckets(firsts)).select(F.col("band").cast("bigint").alias("band"), "key", "n_docs", "first_ord")
+
+
+def near_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """The status of each document under the greedy rule; tested against a sequential loop."""
+    return dedup.near_dedup(_corpus(spark, d))
+
+
+def stage_counters(spark: SparkSession, d: str) -> DataFrame:
+    """D6 of the whole cleaning stage."""
+    return dedup.status_counts(near_dedup(spark, d))
+
+
+def first_paragraph(spark: SparkSession, d: str) -> DataFrame:
+    """T5."""
+    return _corpus(spark, d).select("ord", T.first_paragraph("text").alias("paragraph")).filter("paragraph is not null")
+
+
+def truncate_at_sentence(spark: SparkSession, d: str) -> DataFrame:
+    """T6 with 400 characters."""
+    return _corpus(spark, d).select("ord", T.truncate_at_sentence("text", 400).alias("text"))
+
+
+def whitespace_words(spark: SparkSession, d: str) -> DataFrame:
+    """Words and the text they make."""
+    w = _corpus(spark, d).filter("text is not null").select("ord", T.py_split("text").alias("w"))
+    return w.select("ord", F.size("w").cast("bigint").alias("n"), F.md5(F.array_join("w", " ")).alias("digest"))
+
+
+def excerpts(spark: SparkSession, d: str) -> DataFrame:
+    """T10."""
+    return _corpus(spark, d).select("ord", F.md5(T.excerpt("text")).alias("digest"))
+
+
+def stem_titles(spark: SparkSession, d: str) -> DataFrame:
+    """The title in a file's name."""
+    stem = T.file_stem("file")
+    return table(spark, d, "pdfs").select("pdf_no", stem.alias("stem"), T.stem_to_title(stem).alias("title"))
+
+
+def markdown_records(spark: SparkSession, d: str) -> DataFrame:
+    """Id, title and file of Markdown rows."""
+    rows = _corpus(spark, d, "ord", "file", "source").filter("source = 'markdown' and file is not null")
+    return rows.select("ord", F.col("file").alias("id"), T.stem_to_title(T.file_stem("file")).alias("title"), F.lit("markdown").alias("source"), "file")
+
+
+def strip_tags(spark: SparkSession, d: str) -> DataFrame:
+    """T4.6 over documents, some of which hold markup."""
+    rows = table(spark, d, "documents").filter("text is not null")
+    return rows.select("doc_id", F.md5(T.strip_tags("text")).alias("digest"))
+
+
+def markdown_to_text(spark: SparkSession, d: str) -> DataFrame:
+    """T4, whole; look-ahead is beyond the SQL at hand, so rules are tested one by one."""
+    return table(spark, d, "documents").select("doc_id", T.markdown_to_text("text").alias("text"))
+
+
+def join_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Pages of each file, joined."""
+    return readers.join_pages(table(spark, d, "pdf_pages")).select("path", F.md5("text").alias("digest"))
+
+
+def pdf_clean(spark: SparkSession, d: str) -> DataFrame:
+    """T3 over joined pages."""
+    return readers.join_pages(table(spark, d, "pdf_pages")).select("path", F.md5(T.clean_pdf_text("text")).alias("digest"))
+
+
+def page_number_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Lines that only number a page, per file."""
+    lines = table(spark, d, "pdfs").select("pdf_no", F.explode(F.split("text", "\n", -1)).alias("line"))
+    return lines.filter(T.is_page_number("line")).groupBy("pdf_no").agg(F.count("*").alias("n"))
+
+
+def title_qa(spark: SparkSession, d: str) -> DataFrame:
+    """G2, T11, P4."""
+    return sft.one_kind(_corpus(spark, d, "ord", "title", "text", "source", "lang"), "title")
+
+
+def summary_examples(spark: SparkSession, d: str) -> DataFrame:
+    """G1."""
+    return sft.one_kind(_corpus(spark, d, "ord", "title", "text", "source", "lang"), "summary")
+
+
+def continue_examples(spark: SparkSession, d: str) -> DataFrame:
+    """G3."""
+    return sft.one_kind(_corpus(spark, d, "ord", "title", "text", "source", "lang"), "continue")
+
+
+def sft_examples(spark: SparkSession, d: str) -> DataFrame:
+    """G4 to G7, one row per document."""
+    return sft.examples(_corpus(spark, d, "ord", "title", "text", "source", "lang"))
+
+
+def sft_kinds(spark: SparkSession, d: str) -> DataFrame:
+    """Rows by generator with two generators per document."""
+    rows = sft.examples(_corpus(spark, d, "ord", "title", "text", "source", "lang"), per_doc=2)
+    return rows.groupBy("kind").agg(F.count("*").alias("n"))
+
+
+def max_docs_limit(spark: SparkSession, d: str) -> DataFrame:
+    """L1: the first 500 documents; the limit is the operator."""
+    return filters.first_rows(_corpus(spark, d).filter("text is not null"), 500).select("ord")
+
+
+def max_docs_after_filter(spark: SparkSession, d: str) -> DataFrame:
+    """L2: the first 500 documents that are long enough."""
+    return filters.first_rows(filters.min_chars(_corpus(spark, d)), 500).select("ord")
+
+
+def qa_prompts(spark: SparkSession, d: str) -> DataFrame:
+    """Q1."""
+    rows = pipeline.prompts(_corpus(spark, d, "ord", "text", "source", "lang"))
+    return rows.select("ord", "source", "lang", F.md5("prompt").alias("digest"))
+
+
+def qa_parse(spark: SparkSession, d: str) -> DataFrame:
+    """Q4, F9; back-references are beyond the SQL at hand, so it is tested against Python's."""
+    return qa.parse(table(spark, d, "qa_raw"), keep=("raw_id",))
+
+
+def token_offsets(spark: SparkSession, d: str) -> DataFrame:
+    """K2, K3: where each document's tokens begin in the stream."""
+    ids = _corpus(spark, d).select("ord", pack.word_ids("text").alias("ids"))
+    return pack.offsets(ids).select("ord", "start", F.col("n").cast("bigint").alias("n"))
+
+
+def pack_sequences(spark: SparkSession, d: str) -> DataFrame:
+    """K4, K5: the chunks, with a digest of their ids."""
+    rows = pipeline.packed(_corpus(spark, d), SEQ_LEN)
+    return rows.select("chunk", F.md5(F.array_join("input_ids", ",")).alias("digest"))
+
+
+def pack_attention_mask(spark: SparkSession, d: str) -> DataFrame:
+    """K6: real tokens per chunk, and whether labels equal ids."""
+    rows = pipeline.packed(_corpus(spark, d), SEQ_LEN)
+    return rows.select("chunk", F.aggregate("attention_mask", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("n_real"), (F.col("labels") == F.col("input_ids")).alias("labels_equal"))
+
+
+def union_sources(spark: SparkSession, d: str) -> DataFrame:
+    """Three sources with their own columns as one."""
+    c = table(spark, d, "corpus")
+    wiki = c.filter("source = 'wikipedia'").select("ord", "id", "title", "url", "text", "lang")
+    pdf = c.filter("source = 'pdf'").select("ord", "id", "title", "text", "file")
+    md = c.filter("source = 'markdown'").select("ord", "id", "title", "text", "file")
+    rows = split.union_sources([wiki, pdf, md])
+    return rows.groupBy("source_rank").agg(F.count("*").alias("n"), F.count("lang").alias("n_lang"), F.count("file").alias("n_file"), F.min("ord").alias("first_ord"))
+
+
+def union_alpaca(spark: SparkSession, d: str) -> DataFrame:
+    """Instruction rows of two sets by source."""
+    made = sft.one_kind(_corpus(spark, d, "ord", "title", "text", "source", "lang"), "title")
+    rows = split.union_alpaca([made, table(spark, d, "sft_qa_llm")])
+    return rows.groupBy("source").agg(F.count("*").alias("n"))
+
+
+def holdout_split(spark: SparkSession, d: str) -> DataFrame:
+    """V1, V2: one hundredth of the pairs apart."""
+    return split.holdout(table(spark, d, "sft_qa_llm").select("pair_id"), 0.01, "pair_id").groupBy("split").agg(F.count("*").alias("n"), F.min("pair_id").alias("first_id"))
+
+
+def path_components(spark: SparkSession, d: str) -> DataFrame:
+    """O1: files in path order, as rank within their top folder."""
+    parts = split.path_parts("file")
+    files = table(spark, d, "pdfs").select("pdf_no", parts[0].alias("top"), parts.alias("parts"))
+    return dedup.ranked(files, "top", "parts").select("pdf_no", "top", F.col("rank").cast("bigint").alias("rank"))
+
+
+def checksum_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """S10."""
+    return readers.checksum_of(table(spark, d, "checksums"))
+
+
+def text_md5(spark: SparkSession, d: str) -> DataFrame:
+    """The MD5 of each text's bytes."""
+    return _corpus(spark, d).select("ord", F.md5("text").alias("md5"))
+
+
+def corpus_json(spark: SparkSession, d: str) -> DataFrame:
+    """Documents as JSON, null fields left out."""
+    return table(spark, d, "corpus").select("ord", F.to_json(F.struct("id", "title", "url", "text", "source", "lang", "file")).alias("json"))
+
+
+def clean_corpus(spark: SparkSession, d: str) -> DataFrame:
+    """The cleaning stage from end to end: documents that stay, as they came."""
+    return pipeline.clean_corpus(table(spark, d, "corpus")).select("ord", F.md5("text").alias("digest"))
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    own = [
+        corpus_min_length, wiki_min_length, pdf_min_length, qa_min_chars, not_blank, normalize_sha256, exact_dedup, dedup_status_counts, word_shingles, minhash_signature, lsh_buckets, near_dedup, stage_counters, first_paragraph, truncate_at_sentence, whitespace_words, excerpts, stem_titles, markdown_records, strip_tags, markdown_to_text, join_pages, pdf_clean, page_number_lines,
+        title_qa, summary_examples, continue_examples, sft_examples, sft_kinds, max_docs_limit, max_docs_after_filter, qa_prompts, qa_parse, token_offsets, pack_sequences, pack_attention_mask, union_sources, union_alpaca, holdout_split, path_components, checksum_lookup, text_md5, corpus_json, clean_corpus,
+    ]
+    return {f.__name__: f for f in own}
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(SQL)
