@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 #: The defects in the order in which one is chosen where several apply: what is blank or copied says nothing further.
 DEFECTS = ("empty", "copy", "refusal", "truncated", "wrong_language")
-#: The posterior from which a label is given. Validated on the labelled fixtures of the tests: anything from 0.3 to 0.9
+#: The posterior from which a label is given. Validated on the labelled fixtures of the tests: anything from 0.3 to 0.7
 #: gives the same labels there.
 CUTOFFS = {"empty": 0.5, "copy": 0.5, "refusal": 0.5, "truncated": 0.5, "wrong_language": 0.5}
 #: The prior share of a defect at the start, and how many made-up votes hold a function near its first accuracy.
@@ -41,6 +41,14 @@ REFUSALS = [
     r"\b(?:kan|mag|wil|weet|zal|durf|ga|laat|heb)\b[^.]{0,30}\bik\b[^.]{0,60}\b(?:niet|niets|geen|liever)\b", r"\bik\b[^.]{0,60}\b(?:niet|niets|geen)\b[^.]{0,50}", r"\bhet spijt me\b", r"\bniets\b[^.]{0,40}\blaat me\b", r"\bmoet ik (?:helaas )?(?:weigeren|passen|afzien)", r"\bals (?:taalmodel|ai|assistent)\b", r"\b(?:tekst|passage|context|fragment)\b[^.]{0,50}\b(?:geen|niet|niets)\b", r"\bvalt\b[^.]{0,30}\bgeen antwoord\b", r"\blaat ik me liever niet\b", r"\b(?:richtlijnen|regels|voorschriften)\b[^.]{0,40}\b(?:verbieden|niet|geen)\b", r"\bantwoord\b[^.]{0,40}\b(?:schuldig|niet mogelijk|onmogelijk)",
 ]
 REFUSAL = [re.compile(x) for x in REFUSALS]
+#: Words of which every phrase of ``REFUSALS`` holds one; answers without any are not searched further.
+TRIGGERS = frozenset(
+    "nicht nichts kein keine keinen keinem keiner keines passen ablehnen ueberfordert sprachmodell ki assistent untersagen verbieten erlauben gestatten erlaubt gestattet schuldig unmoeglich lieber "
+    "not don't dont cannot can't cant can't, won't i'm i'd i ai model language artificial assistant guidelines policy policies forbid prevent prohibit insufficient no nothing unable doesn't isn't impossible possible inappropriate outside decline refuse pass beyond sorry comment "
+    "pas rien aucun aucune impossible impossibilite desole incapable decliner refuser abstenir modele ia intelligence interdisent permettent empechent prefere "
+    "puedo tengo dispongo siento prefiero imposible modelo asistente inteligencia nada prohiben impiden declinar rechazar abstenerme "
+    "niet niets geen verbieden spijt taalmodel liever onmogelijk weigeren afzien mogelijk".split()
+)
 FIRST_PERSON = re.compile(r"\b(?:ich|mir|mich|meine?r?|i|i'm|i'd|me|my|mes|mis|je|j'|m'|moi|mi|ik|mij|mijn|sprachmodell|taalmodel|language model|ai model|modele de langue|modelo de lenguaje)\b")
 FIRST_VERB = re.compile(r"\b(?:puedo|tengo|dispongo|prefiero|lamento|siento)\b")
 NEGATION = re.compile(r"\b(?:untersagen|verbieten|interdisent|prohiben|verbieden|forbid|nicht|nichts|kein\w*|passen|ueberfordert|not|no|nothing|cannot|can't|don't|won't|rather|unable|pas|rien|aucun\w*|impossible|imposible|niet|niets|geen|prefiero|lieber|liever|grundsaetzlich)\b")
@@ -106,9 +114,11 @@ class Languages:
         return best[0], s[best[0]] - s[best[1]]
 
 
+_PLAIN = str.maketrans({"ä": "ae", "ö": "oe", "ü": "ue", "ß": "ss", "’": "'", "é": "e", "è": "e", "ê": "e", "á": "a", "à": "a", "í": "i", "ó": "o", "ú": "u", "ñ": "n", "ç": "c"})
+
+
 def _plain(text: str) -> str:
-    t = text.lower().translate(str.maketrans({"ä": "ae", "ö": "oe", "ü": "ue", "ß": "ss", "’": "'", "é": "e", "è": "e", "ê": "e", "á": "a", "à": "a", "í": "i", "ó": "o", "ú": "u", "ñ": "n", "ç": "c"}))
-    return re.sub(r"\s+", " ", t).strip()
+    return " ".join(text.lower().translate(_PLAIN).split())
 
 
 def _only_letters(text: str) -> str:
@@ -155,7 +165,7 @@ def votes_of(lang: Languages, question: str | None, answer: str | None, tail_rat
     times = al.count(ql) if ql else 0
     repeats = bool(ql) and times > 1 and len(al) - times * len(ql) <= 20
     asks = content.rstrip(CLOSERS + ".").endswith("?")
-    run = _common_run(qw, aw)
+    run = _common_run(qw, aw) if asks or 0 <= extra <= 6 else 0.0
     v["copy"] = [1 if al == ql and ql else -1, 1 if at_end or repeats else -1, 1 if asks and run > 0.8 else -1, 1 if run > 0.8 and 0 <= extra <= 6 and (asks or extra <= 1) else -1]
     is_copy = sum(v["copy"]) > 0
 
@@ -166,8 +176,9 @@ def votes_of(lang: Languages, question: str | None, answer: str | None, tail_rat
     subject = {_plain(w) for w in names}
     pu = " ".join(w for w in _plain(unquoted).split(" ") if w.strip(",.:;?!") not in subject or w[-1:] in ".?!")
     quoted = unquoted != content
-    phrase = any(x.search(pu) for x in REFUSAL)
-    person = bool(FIRST_PERSON.search(pu) or FIRST_VERB.search(pu)) and bool(NEGATION.search(pu))
+    telling = not TRIGGERS.isdisjoint(re.split(r"[ .,;:!?']", pu)) or not TRIGGERS.isdisjoint(pu.split(" "))
+    phrase = telling and any(x.search(pu) for x in REFUSAL)
+    person = telling and bool(FIRST_PERSON.search(pu) or FIRST_VERB.search(pu)) and bool(NEGATION.search(pu))
     shares = any(w in content for w in list(names)[1:] or names) or any(w.lower() in p for w in map(str.lower, names) if len(w) > 6)
     figures = bool(re.search(r"\d", content))
     v["refusal"] = [1 if phrase else -1, 1 if person else 0 if phrase else -1, -1 if figures or quoted else 0, 1 if phrase and not figures else -1 if shares or len(aw) < 3 else 1 if person and not figures else 0]
