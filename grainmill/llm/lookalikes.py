@@ -27,8 +27,8 @@ CLASS_OF = {ch: c for c in CLASSES for ch in c}
 SYMBOLS = sorted(CLASS_OF)
 INDEX = {ch: i for i, ch in enumerate(SYMBOLS)}
 SCRIPTS = ("Latin", "Cyrillic", "Greek")
-#: What a change of script inside a token costs, in nats; above any sum of bigram scores of a token of usual length.
-SWITCH = 50.0
+#: What a change of script inside a token costs, in nats; far above the bigram scores of any token.
+SWITCH = 1e9
 
 _foreign = "".join(ch for c in CLASSES for ch in c[1:])
 _latin = "".join(c[0] for c in CLASSES)
@@ -91,28 +91,37 @@ class Forms:
 
         A character outside the classes has one state, whose script holds for its neighbours.
         """
-        paths: list[tuple[float, str, str, int]] = []  # score, text, script, symbol or -1
+        paths: list[tuple[float, str, int]] = []  # score, script, symbol or -1
+        steps: list[tuple[str, list[int]]] = []  # the options of each place and where each comes from
         for ch in token:
             options = CLASS_OF.get(ch, ch)
-            new = []
+            new, back = [], []
             for o in options:
                 k, s = INDEX.get(o, -1), _script(o)
                 if not paths:
-                    new.append((self.first[k] if k >= 0 else 0.0, o, s, k))
+                    new.append((self.first[k] if k >= 0 else 0.0, s, k))
+                    back.append(0)
                     continue
-                best = None
-                for score, text, ps, pk in paths:
+                best, at = None, 0
+                for i, (score, ps, pk) in enumerate(paths):
                     if s != ps:
                         score -= SWITCH
                     elif k >= 0 and pk >= 0:
                         score += self.step[pk, k]
                     elif k >= 0:
                         score += self.first[k]
-                    if best is None or score > best[0]:
-                        best = (score, text + o, s, k)
-                new.append(best)
+                    if best is None or score > best:
+                        best, at = score, i
+                new.append((best, s, k))
+                back.append(at)
             paths = new
-        return max(paths, key=lambda p: (p[0], p[2] == "Latin"))[1]
+            steps.append((options, back))
+        at = max(range(len(paths)), key=lambda i: (paths[i][0], paths[i][1] == "Latin"))
+        out = []
+        for options, back in reversed(steps):
+            out.append(options[at])
+            at = back[at]
+        return "".join(reversed(out))
 
     def text(self, text: str | None) -> str | None:
         if text is None:

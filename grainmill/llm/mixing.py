@@ -61,4 +61,4 @@ def shares(mixed: DataFrame, targets: DataFrame) -> DataFrame:
     got = mixed.groupBy("plan_id", "source").agg(F.count("*").alias("n_records"), F.sum("n_tokens").alias("n_tokens"), (F.max("copy") + 1).alias("most_repeats"))
     t = targets.select("plan_id", clean_label("source").alias("source"), "target_share").groupBy("plan_id", "source").agg(F.sum("target_share").alias("target_share"))
     out = t.join(got, ["plan_id", "source"], "left").fillna(0, ["n_records", "n_tokens", "most_repeats"])
-    return out.withColumn("actual_share", F.col("n_tokens") / F.sum("n_tokens").over(W.partitionBy("plan_id"))).select("plan_id", "source", "target_share", "n_records", "n_tokens", "actual_share", "most_repeats")
+    return out.withColumn("actual_share", F.coalesce(F.try_divide(F.col("n_tokens"), F.sum("n_tokens").over(W.partitionBy("plan_id"))), F.lit(0.0))).select("plan_id", "source", "target_share", "n_records", "n_tokens", "actual_share", "most_repeats")

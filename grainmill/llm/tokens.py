@@ -85,7 +85,7 @@ def token_budget(df: DataFrame, source: str = "source", lang: str = "lang", topi
 
     Labels are cleaned first, so that spellings of one label are one slice; missing labels are the slice ``unknown``
     (``und`` for languages). ``level`` names the grouping; columns that a grouping leaves out are null. Null and empty
-    texts count as documents without tokens; repeated rows count each time; an empty table gives the total row only.
+    texts count as documents without tokens; repeated rows count each time; an empty table gives no rows.
     """
     clean = df.select(clean_label(source).alias("source"), clean_lang(lang).alias("lang"), clean_label(topic).alias("topic"), F.col(text).alias("text"))
     part = slice_tokens(clean, ["source", "lang", "topic"], "text", tokenizer, folder)
