@@ -143,9 +143,13 @@ def _common_run(a: list[str], b: list[str]) -> float:
     return max(sum(x == y for x, y in zip(a, b[i : i + n])) for i in range(len(b) - n + 1)) / n
 
 
-def votes_of(lang: Languages, question: str | None, answer: str | None, tail_rate: float | None, tail_votes: bool) -> dict[str, list[int]]:
-    """The votes of all labelling functions on one pair. ``tail_rate``: how often the answer's last words end a sentence
-    elsewhere (None if they are not met); ``tail_votes``: whether the answer lacks a final stop at all."""
+#: What the rate of an answer's ending says: it ends no sentence elsewhere, it does, or neither.
+LOW, HIGH = 0.04, 0.12
+ENDINGS = ("low", "high", "open")
+
+
+def votes_of(lang: Languages, question: str | None, answer: str | None) -> dict[str, list[int]]:
+    """The votes of all labelling functions on one pair; those on ``truncated`` for each of ``ENDINGS``."""
     q, a = question or "", answer or ""
     bare = regex.sub(r"[\p{Cf}\p{Z}\s]+", " ", a).strip()
     content = _without_lead(bare).strip()
@@ -155,7 +159,7 @@ def votes_of(lang: Languages, question: str | None, answer: str | None, tail_rat
     is_empty = not letters or placeholder
     v["empty"] = [1 if not bare else 0 if is_empty else -1, 1 if not letters else 0 if placeholder else -1, 1 if is_empty else -1]
     if is_empty:
-        return v | {d: [-1] * 4 for d in DEFECTS[1:]}
+        return v | {d: [-1] * 4 for d in DEFECTS[1:] if d != "truncated"} | {f"truncated_{e}": [-1] * 4 for e in ENDINGS}
 
     # copy
     ql, al = _only_letters(_without_lead(q)), letters
@@ -193,14 +197,11 @@ def votes_of(lang: Languages, question: str | None, answer: str | None, tail_rat
     opened = s.count("(") > s.count(")") or s.count("[") > s.count("]") or s.count("„") > s.count("“") + s.count("”") or s.count("«") > s.count("»") or (s.count("“") > s.count("”") and "„" not in s) or s.count('"') % 2 == 1
     open_end = s.endswith((",", ";", "-", "–", "(", "/", "„", "«", ":")) or last.lower() in OPEN_WORDS or bool(re.fullmatch(r"(?:[-•*]|\d+[.)])", last_line))
     short_stop = bool(OPEN_ABBREVIATION.search(s)) and not re.search(r"(?i)\b(?:etc|usw|u\.\s?s\.\s?w)\.\Z", s)
-    if stopped and not short_stop and not opened and not open_end:
-        v["truncated"] = [-1, -1, -1, -1]
-    else:
-        broken = opened or open_end or short_stop
-        low, high = tail_votes and tail_rate is not None and tail_rate < 0.04, tail_votes and tail_rate is not None and tail_rate > 0.12
-        v["truncated"] = [1 if opened else 0, 1 if open_end or short_stop else 0, 0 if broken else 1 if low else -1 if high else 0, 1 if broken or low else -1 if high else 0]
-    if is_copy or is_refusal:
-        v["truncated"] = [-1] * 4
+    whole = is_copy or is_refusal or (stopped and not short_stop and not opened and not open_end)
+    broken = opened or open_end or short_stop
+    for e in ENDINGS:
+        told = {"low": 1, "high": -1, "open": 0}[e]
+        v[f"truncated_{e}"] = [-1] * 4 if whole else [1 if opened else 0, 1 if open_end or short_stop else 0, 0 if broken else told, 1 if broken else told]
 
     # wrong language
     qt = _without_lead(q)
@@ -376,7 +377,7 @@ def tail_rates(df: DataFrame, key: str = "pair_id", text: str = "output") -> Dat
     cut, item = F.max((F.col("rank") == -1).cast("int")), F.max((F.col("rank") == -2).cast("int"))
     longest = F.min_by(rate, F.when((F.col("rank") > 0) & (F.col("met") >= LEAST_MET), F.col("rank")))
     out = met.groupBy("_k").agg(whole.alias("w"), cut.alias("c"), item.alias("i"), longest.alias("r"))
-    return out.select(F.col("_k").alias(key), F.when(F.col("w") > 0.3, 1.0).when(F.col("c") == 1, 0.0).otherwise(F.coalesce("r", F.when(F.col("i") == 1, 0.08).otherwise(0.0))).alias("rate"))
+    return out.select(F.col("_k").alias(key), F.when(F.col("w") > 0.3, 1.0).when(F.col("c") == 1, 0.0).otherwise(F.coalesce("r", F.when(F.col("i") == 1, (LOW + HIGH) / 2).otherwise(0.0))).alias("rate"))
 
 
 def pair_votes(df: DataFrame, samples: DataFrame, key: str = "pair_id", question: str = "instruction", answer: str = "output") -> DataFrame:
@@ -384,20 +385,23 @@ def pair_votes(df: DataFrame, samples: DataFrame, key: str = "pair_id", question
     spark = df.sparkSession
     lang = spark.sparkContext.broadcast(Languages([(r[0], r[1]) for r in samples.filter("text is not null").select("lang", "text").collect()]))  # a fixed table
     rates = tail_rates(df, key, answer).withColumnRenamed(key, "_k2")
-    rows = df.select(F.col(key).alias("_k"), F.col(question).cast("string").alias("q"), F.col(answer).cast("string").alias("a")).join(rates, F.col("_k") == F.col("_k2"), "left").select("_k", "q", "a", "rate")
-    schema = df.select(key).schema
-    for d in DEFECTS:
-        schema = schema.add(d, "string")
+    names = [d for d in DEFECTS if d != "truncated"] + [f"truncated_{e}" for e in ENDINGS]
+    schema = df.select(F.col(key).alias("_k")).schema
+    for name in names:
+        schema = schema.add(name, "string")
 
     def vote(batches):
         model = lang.value
         for batch in batches:
-            ks, qs, ans, rs = (batch.column(i) for i in range(4))
-            got = [votes_of(model, q, a, r, r is not None) for q, a, r in zip(qs.to_pylist(), ans.to_pylist(), rs.to_pylist())]
-            cols = [pa.array([" ".join(map(str, g[d])) for g in got], pa.string()) for d in DEFECTS]
-            yield pa.RecordBatch.from_arrays([ks, *cols], names=schema.names)
-
-    return rows.mapInArrow(vote, schema)
+            got = [votes_of(model, q, a) for q, a in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            cols = [pa.array([" ".join(map(str, g[d])) for g in got], pa.string()) for d in names]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *cols], names=schema.names)
+
+    # only votes are shuffled to meet the rates of endings, no texts
+    votes = df.select(F.col(key).alias("_k"), F.col(question).cast("string"), F.col(answer).cast("string")).mapInArrow(vote, schema)
+    votes = votes.join(rates, F.col("_k") == F.col("_k2"), "left")
+    cut = F.when(F.col("rate") < LOW, F.col("truncated_low")).when(F.col("rate") > HIGH, F.col("truncated_high")).otherwise(F.col("truncated_open"))
+    return votes.select(F.col("_k").alias(key), *(cut.alias(d) if d == "truncated" else F.col(d) for d in DEFECTS))
 
 
 def defects(df: DataFrame, samples: DataFrame, key: str = "pair_id", cutoffs: dict[str, float] = CUTOFFS, **columns: str) -> DataFrame:
