@@ -33,7 +33,7 @@ SWITCH = 1e9
 _foreign = "".join(ch for c in CLASSES for ch in c[1:])
 _latin = "".join(c[0] for c in CLASSES)
 #: A token needs the search only if it holds a foreign look-alike or consists of ambiguous letters alone.
-TOKEN = re.compile(rf"[^\W\d_]*[{_foreign}][^\W\d_]*|(?<![^\W\d_])[{_latin}]+(?![^\W\d_])")
+TOKEN = re.compile(rf"(?<![^\W\d_])[^\W\d_]*[{_foreign}][^\W\d_]*|(?<![^\W\d_])[{_latin}]+(?![^\W\d_])")
 
 
 @lru_cache(maxsize=4096)
