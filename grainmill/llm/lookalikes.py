@@ -66,10 +66,11 @@ class Forms:
         n = len(SYMBOLS)
         script = np.array([SCRIPTS.index(SCRIPT[ch]) for ch in SYMBOLS])
         same = script[:, None] == script[None, :]
-        c = np.where(same, counts.reshape(n, n), 0) + 0.5 * same
-        total = np.array([c[script == s].sum() for s in range(3)])
-        self.step = np.where(same, np.log(np.maximum(c, 1e-9) / np.maximum(c.sum(1, keepdims=True), 1e-9)), -SWITCH)
-        self.first = np.log(np.maximum(c.sum(1), 1e-9) / total.sum())  # the script's share of all letters counts here
+        c = np.where(same, counts.reshape(n, n), 0).astype(np.float64)
+        row = c.sum(1)
+        # smoothed over all letters alike, so that a script with few of them gains nothing from what is never seen
+        self.step = np.where(same, np.log((c + 0.5) / (row[:, None] + 0.5 * n)), -SWITCH)
+        self.first = np.log((row + 0.5) / (row.sum() + 0.5 * n))  # the script's share of all letters counts here
         self.cache: dict[str, str] = {}
 
     def __getstate__(self):
