@@ -296,9 +296,17 @@ def train(samples: DataFrame, labelled: DataFrame | None = None, key: str = "ord
     rows = [(r["lang"], r["text"], True) for r in samples.filter("lang is not null and text is not null").select("lang", "text").collect()]  # a fixed table
     rows = [r for r in rows if r[0] in LANGS]
     if labelled is not None and per_lang:
-        c = labelled.select(clean_lang(lang).alias("lang"), F.substring(text, 1, 2000).alias("text"), F.xxhash64(F.col(key).cast("string")).alias("h")).filter(F.col("lang").isin(*LANGS) & (F.length("text") > 40))
+        c = labelled.select(clean_lang(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(key).cast("string")).alias("h")).filter(F.col("lang").isin(*LANGS) & (F.length("text") > 40))
+        counts = {r["lang"]: r["count"] for r in c.groupBy("lang").count().collect()}  # one row per language
+        # hashes are even, so four times the wanted share holds the first rows of every language; a bounded top-n in any case
+        near = F.lit(False)
+        for one, n in counts.items():
+            limit = min(int(min(1.0, 4 * per_lang / n) * 2**64) - 2**63, 2**63 - 1)
+            near = near | ((F.col("lang") == one) & (F.col("h") <= limit))
+        first = c.filter(near).groupBy("lang", "h").agg(F.min(F.substring("text", 1, 2000)).alias("text"))  # a repeated key is one row
+        first = first.orderBy("h", "lang").limit(16 * per_lang * len(LANGS)).collect()
         for one in LANGS:
-            rows += [(r["lang"], r["text"], False) for r in c.filter(F.col("lang") == one).orderBy("h", "text").limit(per_lang).collect()]
+            rows += [(r["lang"], r["text"], False) for r in first if r["lang"] == one][:per_lang]
     return _trained(tuple(sorted(rows)), hidden, steps)
 
 
