@@ -60,6 +60,7 @@ def test_templates(spark):
     assert sft.examples(df.limit(0)).count() == 0
 
 
+#: Fixed value: the pattern of a pair in Python's syntax.
 PAIR = re.compile(r"[FQ](\d+):\s*(.+?)\s*\n[AB]\1:\s*(.+?)(?=\n[FQ]\d+:|\Z)", re.DOTALL | re.IGNORECASE)
 
 
