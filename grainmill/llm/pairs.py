@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from re import _constants, _parser
 
 import numpy as np
 import pyarrow as pa
@@ -41,14 +42,50 @@ REFUSALS = [
     r"\b(?:kan|mag|wil|weet|zal|durf|ga|laat|heb)\b[^.]{0,30}\bik\b[^.]{0,60}\b(?:niet|niets|geen|liever)\b", r"\bik\b[^.]{0,60}\b(?:niet|niets|geen)\b[^.]{0,50}", r"\bhet spijt me\b", r"\bniets\b[^.]{0,40}\blaat me\b", r"\bmoet ik (?:helaas )?(?:weigeren|passen|afzien)", r"\bals (?:taalmodel|ai|assistent)\b", r"\b(?:tekst|passage|context|fragment)\b[^.]{0,50}\b(?:geen|niet|niets)\b", r"\bvalt\b[^.]{0,30}\bgeen antwoord\b", r"\blaat ik me liever niet\b", r"\b(?:richtlijnen|regels|voorschriften)\b[^.]{0,40}\b(?:verbieden|niet|geen)\b", r"\bantwoord\b[^.]{0,40}\b(?:schuldig|niet mogelijk|onmogelijk)",
 ]
 REFUSAL = [re.compile(x) for x in REFUSALS]
-#: Words of which every phrase of ``REFUSALS`` holds one; answers without any are not searched further.
-TRIGGERS = frozenset(
-    "nicht nichts kein keine keinen keinem keiner keines passen ablehnen ueberfordert sprachmodell ki assistent untersagen verbieten erlauben gestatten erlaubt gestattet schuldig unmoeglich lieber "
-    "not don't dont cannot can't cant can't, won't i'm i'd i ai model language artificial assistant guidelines policy policies forbid prevent prohibit insufficient no nothing unable doesn't isn't impossible possible inappropriate outside decline refuse pass beyond sorry comment "
-    "pas rien aucun aucune impossible impossibilite desole incapable decliner refuser abstenir modele ia intelligence interdisent permettent empechent prefere "
-    "puedo tengo dispongo siento prefiero imposible modelo asistente inteligencia nada prohiben impiden declinar rechazar abstenerme "
-    "niet niets geen verbieden spijt taalmodel liever onmogelijk weigeren afzien mogelijk".split()
-)
+
+
+def required(pattern: str) -> frozenset[str]:
+    """Literals of which every match of a case-sensitive pattern holds at least one, read off the parsed pattern; empty
+    if it guarantees none."""
+    rank = lambda x: (min(map(len, x), default=0), -len(x))
+
+    def of(parts) -> frozenset[str]:
+        best, run = frozenset(), ""
+        for op, arg in [*parts, (None, None)]:
+            if op is _constants.LITERAL:
+                run += chr(arg)
+                continue
+            if op is _constants.AT:  # takes no character, so that a literal goes on behind it
+                continue
+            own = frozenset()
+            if op is _constants.SUBPATTERN:
+                own = of(arg[-1])
+            elif op is _constants.BRANCH:
+                each = [of(x) for x in arg[1]]
+                own = frozenset().union(*each) if all(each) else own
+            elif op in (_constants.MAX_REPEAT, _constants.MIN_REPEAT) and arg[0] > 0:
+                own = of(arg[2])
+            best, run = max(best, own, frozenset([run] if run else []), key=rank), ""
+        return best
+
+    return of(_parser.parse(pattern))
+
+
+#: Per literal, the phrases of which each match holds that literal or another one of theirs; and the phrases without any.
+#: A phrase none of whose literals is in an answer cannot match it and is not searched.
+LITERALS: dict[str, list[int]] = {}
+for _i, _x in enumerate(REFUSALS):
+    for _literal in sorted(required(_x)):
+        LITERALS.setdefault(_literal, []).append(_i)
+ALWAYS = [i for i, x in enumerate(REFUSALS) if not required(x)]
+
+
+def declines(text: str) -> bool:
+    """Whether any phrase of ``REFUSALS`` is in a text without accents and in lower case."""
+    likely = {i for literal, at in LITERALS.items() if literal in text for i in at}
+    return any(REFUSAL[i].search(text) for i in (*ALWAYS, *sorted(likely)))
+
+
 FIRST_PERSON = re.compile(r"\b(?:ich|mir|mich|meine?r?|i|i'm|i'd|me|my|mes|mis|je|j'|m'|moi|mi|ik|mij|mijn|sprachmodell|taalmodel|language model|ai model|modele de langue|modelo de lenguaje)\b")
 FIRST_VERB = re.compile(r"\b(?:puedo|tengo|dispongo|prefiero|lamento|siento)\b")
 NEGATION = re.compile(r"\b(?:untersagen|verbieten|interdisent|prohiben|verbieden|forbid|nicht|nichts|kein\w*|passen|ueberfordert|not|no|nothing|cannot|can't|don't|won't|rather|unable|pas|rien|aucun\w*|impossible|imposible|niet|niets|geen|prefiero|lieber|liever|grundsaetzlich)\b")
@@ -180,9 +217,8 @@ def votes_of(lang: Languages, question: str | None, answer: str | None) -> dict[
     subject = {_plain(w) for w in names}
     pu = " ".join(w for w in _plain(unquoted).split(" ") if w.strip(",.:;?!") not in subject or w[-1:] in ".?!")
     quoted = unquoted != content
-    telling = not TRIGGERS.isdisjoint(re.split(r"[ .,;:!?']", pu)) or not TRIGGERS.isdisjoint(pu.split(" "))
-    phrase = telling and any(x.search(pu) for x in REFUSAL)
-    person = telling and bool(FIRST_PERSON.search(pu) or FIRST_VERB.search(pu)) and bool(NEGATION.search(pu))
+    phrase = declines(pu)
+    person = bool(NEGATION.search(pu)) and bool(FIRST_PERSON.search(pu) or FIRST_VERB.search(pu))
     shares = any(w in content for w in list(names)[1:] or names) or any(w.lower() in p for w in map(str.lower, names) if len(w) > 6)
     figures = bool(re.search(r"\d", content))
     v["refusal"] = [1 if phrase else -1, 1 if person else 0 if phrase else -1, -1 if figures or quoted else 0, 1 if phrase and not figures else -1 if shares or len(aw) < 3 else 1 if person and not figures else 0]

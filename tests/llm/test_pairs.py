@@ -63,3 +63,45 @@ def test_label_model_finds_the_share():
     assert abs(model.prior - 0.1) < 0.03
     assert np.mean((model.posterior(patterns)[at.ravel()] > 0.5) == truth) > 0.95
     assert len(pairs.LabelModel(np.empty((0, 0), dtype=int), np.empty(0)).posterior(np.empty((0, 0), dtype=int))) == 0
+
+
+#: Refusals whose telling words are stems or stand before a hyphen.
+STEMS = ["Mir liegen dazu keinerlei Angaben vor.", "Dazu kann ich keinerlei Auskunft geben.", "Je suis désolée, cette question dépasse mes compétences.", "Als KI-Modell muss ich die Antwort offen lassen."]
+
+
+@pytest.mark.parametrize("answer", STEMS)
+def test_refusals_by_stem(answer):
+    assert sum(pairs.votes_of(pairs.Languages(list(SAMPLES.items())), Q, answer)["refusal"]) > 0
+
+
+def examples(parts):
+    """Texts built from a parsed pattern, with each of its branches."""
+    out = [""]
+    for op, arg in parts:
+        name = str(op)
+        if name == "LITERAL":
+            new = [chr(arg)]
+        elif name in ("SUBPATTERN", "ASSERT"):
+            new = examples(arg[-1])
+        elif name == "IN":
+            new = [chr(x) for kind, x in arg if str(kind) == "LITERAL"] or [""]
+        elif name == "BRANCH":
+            new = [x for b in arg[1] for x in examples(b)]
+        elif name == "MAX_REPEAT":
+            new = [x * arg[0] for x in examples(arg[2])] if arg[0] else ["", *examples(arg[2])] if arg[1] == 1 else [" ", "x "]
+        else:
+            new = [""]
+        out = [a + b for a in out for b in dict.fromkeys(new)]
+    return out
+
+
+@pytest.mark.parametrize("i", range(len(pairs.REFUSALS)))
+def test_no_phrase_is_skipped(i):
+    texts = [x for x in examples(pairs._parser.parse(pairs.REFUSALS[i])) if pairs.REFUSAL[i].search(x)]
+    assert texts and all(any(n in x for n in pairs.required(pairs.REFUSALS[i])) or i in pairs.ALWAYS for x in texts)
+    assert all(pairs.declines(x) for x in texts)
+
+
+def test_required_literals():
+    assert pairs.required(r"\bab(?:cde|fgh)?\b") == {"ab"} and pairs.required(r"x\b yz.(?:cdefg|hijkl)") == {"cdefg", "hijkl"}
+    assert not pairs.required(r"(?:ab|[cd])\w*") and pairs.required(r"(?:ab)+c*") == {"ab"}
