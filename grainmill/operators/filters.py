@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from grainmill.functions.text import py_strip
 
+#: The sources of the corpus, as their labels read in lower case and without outer blanks.
+SOURCES = ("wikipedia", "pdf", "markdown")
+
 
 def min_length(df: DataFrame, least: int, text: str = "text", store_stripped: bool = False) -> DataFrame:
     """Rows whose stripped text has ``least`` characters (F1 to F4). Null texts are too short.
@@ -27,6 +30,12 @@ def not_blank(df: DataFrame, text: str = "text") -> DataFrame:
     return df.filter(py_strip(text) != "")
 
 
+def of_source(df: DataFrame, name: str | None, source: str = "source") -> DataFrame:
+    """Rows of one of ``SOURCES``, however its label is spelled; with None those whose label is missing or names no source."""
+    label = F.lower(py_strip(source))
+    return df.filter(label == name if name else ~F.coalesce(label.isin(*SOURCES), F.lit(False)))
+
+
 def first_rows(df: DataFrame, n: int, order: str = "ord") -> DataFrame:
     """The first ``n`` rows in order (L1, L2); 0 means all, a negative number none. A top-n per task, then one merge."""
     if n == 0:

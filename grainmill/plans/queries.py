@@ -27,8 +27,8 @@ def corpus_min_length(spark: SparkSession, d: str) -> DataFrame:
 
 
 def wiki_min_length(spark: SparkSession, d: str) -> DataFrame:
-    """Wiki rows of 200 characters, stored stripped."""
-    rows = _corpus(spark, d, "ord", "text", "source").filter("source = 'wikipedia'")
+    """Wiki rows of 200 characters, stored stripped; any spelling of the label, no rows without a label."""
+    rows = filters.of_source(_corpus(spark, d, "ord", "text", "source"), "wikipedia")
     return filters.min_length(rows, 200, store_stripped=True).select("ord", F.length("text").alias("n_chars"), F.md5("text").alias("digest"))
 
 
@@ -119,8 +119,8 @@ def stem_titles(spark: SparkSession, d: str) -> DataFrame:
 
 
 def markdown_records(spark: SparkSession, d: str) -> DataFrame:
-    """Id, title and file of Markdown rows."""
-    rows = _corpus(spark, d, "ord", "file", "source").filter("source = 'markdown' and file is not null")
+    """Id, title and file of Markdown rows; any spelling of the label, no rows without a label."""
+    rows = filters.of_source(_corpus(spark, d, "ord", "file", "source"), "markdown").filter("file is not null")
     return rows.select("ord", F.col("file").alias("id"), T.stem_to_title(T.file_stem("file")).alias("title"), F.lit("markdown").alias("source"), "file")
 
 
@@ -217,12 +217,14 @@ def pack_attention_mask(spark: SparkSession, d: str) -> DataFrame:
 
 
 def union_sources(spark: SparkSession, d: str) -> DataFrame:
-    """Three sources with their own columns as one."""
+    """Three sources with their own columns as one, any spelling of their labels; rows without a known source
+    come last (rank 3), with all columns."""
     c = table(spark, d, "corpus")
-    wiki = c.filter("source = 'wikipedia'").select("ord", "id", "title", "url", "text", "lang")
-    pdf = c.filter("source = 'pdf'").select("ord", "id", "title", "text", "file")
-    md = c.filter("source = 'markdown'").select("ord", "id", "title", "text", "file")
-    rows = split.union_sources([wiki, pdf, md])
+    wiki = filters.of_source(c, "wikipedia").select("ord", "id", "title", "url", "text", "lang")
+    pdf = filters.of_source(c, "pdf").select("ord", "id", "title", "text", "file")
+    md = filters.of_source(c, "markdown").select("ord", "id", "title", "text", "file")
+    rest = filters.of_source(c, None).select("ord", "id", "title", "url", "text", "lang", "file")
+    rows = split.union_sources([wiki, pdf, md, rest])
     return rows.groupBy("source_rank").agg(F.count("*").alias("n"), F.count("lang").alias("n_lang"), F.count("file").alias("n_file"), F.min("ord").alias("first_ord"))
 
 

@@ -104,3 +104,17 @@ def test_unions_and_splits(spark):
     c = spark.createDataFrame([("o/checkpoint-900",), ("o/checkpoint-2400",), ("o/other",)], "path string")
     assert split.latest_checkpoint(c).first()["path"] == "o/checkpoint-2400"
     assert json.loads(df.limit(1).select(F.to_json(F.struct("id")).alias("j")).first()["j"]) == {"id": 0}
+
+
+def test_every_spelling_of_a_source(spark, tmp_path):
+    from grainmill.plans import queries
+
+    labels = ["wikipedia", "WIKIPEDIA", "Wikipedia ", " wikipedia ", "pdf", "PDF", "pdf ", "markdown", "Markdown", "MARKDOWN\n", None, "", "web"]
+    rows = [(i, f"i{i}", "t", f"u{i}", "x" * 200, s, "de", f"a/f{i}.md") for i, s in enumerate(labels)]
+    df = spark.createDataFrame(rows, "ord bigint, id string, title string, url string, text string, source string, lang string, file string")
+    df.write.parquet(f"{tmp_path}/corpus.parquet")
+    d = str(tmp_path)
+    assert sorted(r["ord"] for r in queries.wiki_min_length(spark, d).collect()) == [0, 1, 2, 3]
+    assert sorted((r["ord"], r["source"]) for r in queries.markdown_records(spark, d).collect()) == [(i, "markdown") for i in (7, 8, 9)]
+    got = {r["source_rank"]: tuple(r)[1:] for r in queries.union_sources(spark, d).collect()}
+    assert got == {0: (4, 4, 0, 0), 1: (3, 0, 3, 4), 2: (3, 0, 3, 7), 3: (3, 3, 3, 10)}
