@@ -14,13 +14,20 @@ from pyspark.sql import functions as F
 
 #: Letters of three scripts that share one shape; the scripts are Latin, Cyrillic and Greek.
 CLASSES = ["aа", "cс", "dԁ", "eе", "hһ", "iі", "jјϳ", "lӏ", "oоο", "pр", "qԛ", "sѕ", "vѵν", "wԝ", "xх", "yу", "gɡ", "AАΑ", "BВΒ", "CС", "EЕΕ", "GԌ", "HНΗ", "IІӀΙ", "JЈ", "KКΚ", "MМΜ", "NΝ", "OОΟ", "PРΡ", "SЅ", "TТΤ", "XХΧ", "YΥ", "ZΖ", "ÄӒ", "ËЁ", "ÖӦ", "äӓ", "ëё", "ïї", "öӧ"]
-#: Characters without a look, blanks of another kind, hyphens of the same length, ligatures.
-IGNORABLE = re.compile("[\u00ad\u034f\u061c\u180e\u200b\u200e\u200f\u202a-\u202e\u2060-\u2064\u2066-\u2069\ufe00-\ufe0f\ufeff]")
+#: Characters without a look (Unicode's Default_Ignorable_Code_Point without the joiners), flags made of
+#: such characters, blanks of another kind, hyphens of the same length.
+IGNORABLE = re.compile("[\u00ad\u034f\u061c\u115f-\u1160\u17b4-\u17b5\u180b-\u180f\u200b\u200e-\u200f\u202a-\u202e\u2060-\u206f\u3164\ufe00-\ufe0f\ufeff\uffa0\ufff0-\ufff8\U0001bca0-\U0001bca3\U0001d173-\U0001d17a\U000e0000-\U000e0fff]")
+FLAG = re.compile(f"(\U0001f3f4[\U000e0020-\U000e007e]+\U000e007f)|{IGNORABLE.pattern}")
 JOINERS = re.compile("[\u200c\u200d]")
 JOINED = re.compile("[\u0600-\u08ff\u0900-\u0df6\u2190-\u2bff\ufe0f\U0001f000-\U0001faff]\\Z")
 BLANKS = re.compile("[\u00a0\u1680\u2000-\u200a\u202f\u205f\u3000]")
 HYPHENS = re.compile("[\u2010\u2011]")
-COMPATIBLE = re.compile("[\uff01-\uffee\ufb00-\ufb06]+")
+#: Characters whose compatibility mapping keeps the look: micro sign, digraphs, Thai and Lao am, a Tibetan
+#: mark, the one-dot leader, Hebrew letters as signs, Roman figures, radicals, ligatures, wide and narrow letters. Left out
+#: are raised, lowered, circled, bracketed, squared, small and upright forms, fractions, mathematical type, signs of
+#: several letters, rows of dots and primes, spacing accents, long s, Greek letters in another shape, and Arabic forms
+#: of one place in a word and single Hangul letters, which look otherwise when they are joined.
+COMPATIBLE = re.compile("[\u00b5\u0132-\u0133\u013f-\u0140\u0149\u01c4-\u01cc\u01f1-\u01f3\u0e33\u0eb3\u0f0c\u2024\u2135-\u2138\u2160-\u217f\u2e9f\u2ef3\u2f00-\u2fd5\uff01-\uffee\ufb00-\ufb06]+")
 
 SCRIPT = {ch: ("Latin" if i == 0 or ch == "ɡ" else unicodedata.name(ch).split()[0].title()) for c in CLASSES for i, ch in enumerate(c)}
 CLASS_OF = {ch: c for c in CLASSES for ch in c}
@@ -51,7 +58,7 @@ def compatible(text: str) -> str:
     """
     if text.isascii():
         return text.replace("\r\n", "\n")
-    text = IGNORABLE.sub("", text)
+    text = FLAG.sub(r"\1", text) if "\U000e007f" in text else IGNORABLE.sub("", text)
     if JOINERS.search(text):
         text = JOINERS.sub(lambda m: m.group() if JOINED.search(text[: m.start()][-1:]) else "", text)
     text = BLANKS.sub(" ", text.replace("\r\n", "\n"))

@@ -123,3 +123,16 @@ def test_pairs_and_classes(spark):
     classes = {r["doc_id"]: (r["class_id"], r["n_rows"], r["n_texts"]) for r in form_classes(df).collect()}
     assert classes[4] == (1, 4, 3) and classes[150] == (100, 300, 1) and 5 not in classes
     assert look_alike_pairs(df.limit(0)).count() == 0
+
+
+def test_forms_of_all_ignorables_and_compatible_letters():
+    f = forms()
+    mapped = [(0xB5, chr(0x3BC)), (0x133, "ij"), (0x1C6, "d" + chr(0x17E)), (0x2163, "IV"), (0x2F00, chr(0x4E00))]
+    for x, want in mapped:
+        assert f.text(f"5 {chr(x)}m") == f.text(f"5 {want}m"), hex(x)
+    for x in (0xAD, 0x34F, 0x115F, 0x1160, 0x17B4, 0x180B, 0x206A, 0x206F, 0x3164, 0xFFA0, 0x1D173, 0xE0000, 0xE0001, 0xE0041, 0xE007F, 0xE0100, 0xE01EF):
+        assert f.text(f"di{chr(x)}e Area") == f.text("die Area"), hex(x)
+    flag = chr(0x1F3F4)
+    england, wales = (flag + "".join(chr(0xE0000 + ord(c)) for c in x) + chr(0xE007F) for x in ("gbeng", "gbwls"))
+    for a, b in [(chr(0x17F), "s"), (chr(0x3D1), chr(0x3B8)), (chr(0x1D400), "A"), (chr(0x2116), "No"), (chr(0x2474), "(1)"), (england, wales), (england, flag)]:
+        assert f.text(a) != f.text(b), (a, b)
