@@ -105,3 +105,59 @@ def test_no_phrase_is_skipped(i):
 def test_required_literals():
     assert pairs.required(r"\bab(?:cde|fgh)?\b") == {"ab"} and pairs.required(r"x\b yz.(?:cdefg|hijkl)") == {"cdefg", "hijkl"}
     assert not pairs.required(r"(?:ab|[cd])\w*") and pairs.required(r"(?:ab)+c*") == {"ab"}
+
+
+def test_cutoffs_are_validated(labelled):
+    """No other cutoff tells the labelled pairs better, defect by defect; a copy's or refusal's second label is not judged."""
+    post = {}
+    for r in pairs.defects(*labelled, cutoffs=dict.fromkeys(pairs.DEFECTS, 0.001)).collect():
+        post[r["pair_id"], r["defect"]] = r["posterior"]
+    for d in pairs.DEFECTS:
+        truth = {i: c == d for i, (_, _, c) in enumerate(CASES) if c in (d, None)}
+
+        def f1(cutoff):
+            got = {i for i in truth if post.get((i, d), 0) >= cutoff}
+            return 2 * sum(truth[i] for i in got) / (len(got) + sum(truth.values()))
+
+        assert f1(pairs.CUTOFFS[d]) == max(f1(x / 100) for x in range(1, 100)) == 1, d
+
+
+def test_several_labels(labelled):
+    df, samples = labelled
+    more = [(5001, Q, "I'm sorry, but I cannot answer this question about the place, because"), (5002, Q, "The old library and the small administration of the valley were founded in the year 1850 by the")]
+    df = df.unionByName(df.sparkSession.createDataFrame([(i, q, a, "x") for i, q, a in more], df.schema))
+    got = {}
+    for r in pairs.defects(df, samples).collect():
+        got.setdefault(r["pair_id"], set()).add(r["defect"])
+    assert got[5001] == {"refusal", "truncated", "wrong_language"} and got[5002] == {"truncated", "wrong_language"}
+    assert {r["pair_id"]: r["defect"] for r in pairs.one_defect(pairs.defects(df, samples)).collect()}[5001] == "refusal"
+
+
+def test_functions_do_not_know_other_defects():
+    votes = pairs.votes_of(pairs.Languages(list(SAMPLES.items())), Q, "Dazu kann ich leider keine Auskunft geben, weil")
+    assert votes["refusal"][0] == 1 and votes["truncated"][1] == 1 and max(votes["wrong_language"]) <= 0
+    assert {d: len(v) for d, v in votes.items()} == {d: n - 2 * (d == "truncated") for d, n in pairs.FUNCTIONS.items()}
+    assert [pairs._decode(pairs._encode(v), len(v)) for v in votes.values()] == list(votes.values())
+
+
+def test_runs_at_the_end_are_among_all_runs():
+    """What is looked up for an answer's end is what the count of another answer holds."""
+    w = pairs.Words(frozenset({"die", "alte", "liegt", "im", "Tal"}), pairs.Languages(list(SAMPLES.items())))
+    whole = w.codes(["Die alte Ziegelei liegt im Tal von Kalo Leck. Mehr 12.", "- die alte\n- die neue\n"])
+    met = {}
+    for h, done in pairs.Runs(w, *whole).all():
+        for x, d in zip(h.astype("int64").tolist(), done.tolist()):
+            met.setdefault(x, []).append(d)
+    ends = pairs.Runs(w, *w.codes(["liegt im Tal von Ost Wyn", "- die alte"])).last()
+    got = [{r: met.get(h) for r, h in x} for x in ends]
+    assert [got[0][r] for r in (2, 3, 4)] == [[True]] * 3 and got[0][13] is None and got[1][1] == [True]
+    assert pairs.Runs(w, *w.codes(["", ""])).last() == [[], []] and not len(w.codes([])[1])
+
+
+def test_every_phrase_is_searched_where_a_word_stands_for_it():
+    w = pairs.Words(frozenset(), pairs.Languages([]))
+    for i in range(len(pairs.REFUSALS)):
+        for x in examples(pairs._parser.parse(pairs.REFUSALS[i])):
+            if pairs.REFUSAL[i].search(x):
+                codes, _ = w.codes([x])
+                assert i in pairs.BARE or any(i in w.phrases[c] for c in codes.tolist()), (i, x)
