@@ -137,12 +137,31 @@ class Languages:
             return np.empty(0, np.int64)
         return ((x[:-2] * 7919 + x[1:-1] * 104729 + x[2:] * 1299709) >> 1) % self.SIZE
 
-    def of_word(self, word: str) -> list[float]:
-        """Per language, the log-probability of a word's trigrams and how many function words it holds."""
-        parts = [p.lower() for p in PART.findall(word)]
-        return [*self.table[:, self._grams(word)].sum(1).tolist(), *(sum(p in STOPWORDS[k] for p in parts) for k in self.langs)]
+    def of_words(self, words: list[str]) -> np.ndarray:
+        """Per word and language, the log-probability of the word's trigrams, then how many function words it holds."""
+        padded = [f" {LETTERLESS.sub(' ', w.lower())} " if w[0].isalpha() else "" for w in words]
+        x = np.frombuffer("".join(padded).encode("utf-32-le", "replace"), dtype=np.uint32).astype(np.int64)
+        x = np.concatenate([x, [0, 0]])
+        grams = ((x[:-2] * 7919 + x[1:-1] * 104729 + x[2:] * 1299709) >> 1) % self.SIZE
+        size = np.array([len(p) for p in padded], dtype=np.int64)
+        ends = np.cumsum(size)
+        score = self.table.T[grams].astype(np.float64)
+        for last in (1, 2):  # what begins in a word's last two places goes on in the next word
+            score[ends[size > 0] - last] = 0
+        out = np.zeros((len(words), 2 * len(self.langs)), dtype=np.float32)
+        out[:, : len(self.langs)] = _sums(score, ends)
+        for i, w in enumerate(words):
+            for p in PART.findall(w.lower()):
+                for k in LANGS_OF.get(p, ()):
+                    out[i, len(self.langs) + self.langs.index(k)] += 1
+        return out
 
 
+LETTERLESS = re.compile(r"[\W\d_]+")
+LANGS_OF: dict[str, list[str]] = {}
+for _k in STOPWORDS:
+    for _w in STOPWORDS[_k]:
+        LANGS_OF.setdefault(_w, []).append(_k)
 PART = re.compile(r"[^\W\d_]+(?:-t-il|-il)?['’]?")
 _PLAIN = str.maketrans({"ä": "ae", "ö": "oe", "ü": "ue", "ß": "ss", "’": "'", "é": "e", "è": "e", "ê": "e", "á": "a", "à": "a", "í": "i", "ó": "o", "ú": "u", "ñ": "n", "ç": "c"})
 UNSEEN = re.compile("[\u00ad\u061c\u180e\u200b-\u200f\u202a-\u202e\u2060-\u206f\ufeff]+")
@@ -166,6 +185,11 @@ def _without_note(text: str) -> str:
     return re.sub(r"(?<=[.!?…])\s+\([^()]*\)\Z", "", s) if s.endswith(")") else s
 
 
+def _opened(s: str) -> bool:
+    """Whether a bracket or quotation is not closed."""
+    return s.count("(") > s.count(")") or s.count("[") > s.count("]") or s.count("„") > s.count("“") + s.count("”") or s.count("«") > s.count("»") or (s.count("“") > s.count("”") and "„" not in s) or s.count('"') % 2 == 1
+
+
 def _common_run(a: list[str], b: list[str]) -> float:
     """The share of ``a``'s words that ``b`` repeats in order, at one place."""
     n = len(a)
@@ -185,6 +209,24 @@ for _literal, _at in LITERALS.items():
     _stem = max(re.findall(r"[^\W\d_]+", _literal), key=len, default="")
     STEMS.setdefault((_stem, re.search(rf"{_stem}\W", _literal) is not None), set()).update(_at)
 BARE = sorted(set(ALWAYS).union(*(x for (stem, _), x in STEMS.items() if not stem)))
+EXACT, BEGUN = ({stem: x for (stem, whole), x in STEMS.items() if whole == kind and stem} for kind in (True, False))
+BEGUN_SIZES = sorted({len(x) for x in BEGUN})
+
+
+def _phrases(plain: str) -> frozenset[int]:
+    """The phrases that a word may stand for."""
+    out: set[int] = set()
+    for part in re.findall(r"[^\W\d_]+", plain):
+        if part in EXACT:
+            out |= EXACT[part]
+        for n in BEGUN_SIZES:
+            if n > len(part):
+                break
+            if part[:n] in BEGUN:
+                out |= BEGUN[part[:n]]
+    return frozenset(out)
+
+
 #: Letters that one of the languages writes and the others hardly do.
 CLUES = {"de": "äöüß", "es": "ñ¿¡áíóú", "fr": "çœèêàùûî"}
 
@@ -211,25 +253,27 @@ class Words:
         self.word: list[str] = []
         self.long: list[bool] = []
         self.rows: list[tuple] = []
-        self.scores: list[list[float]] = []
         self.phrases: list[frozenset[int]] = []
         self.arrays: list[np.ndarray] = []
         self._add("\x00")
+        self._add("0")
 
     def _add(self, w: str) -> int:
+        if w[0].isdigit() and "0" in self.code:
+            c = self.code[w] = self.code["0"]  # all numbers are one
+            return c
         c = self.code[w] = len(self.rows)
         p = _plain(w)
         first, word = w[0], w[0].isalpha()
-        flags = (PERSON if w != "i" and (FIRST_PERSON.search(p) or FIRST_VERB.search(p)) else 0) | (NEGATION_WORD if NEGATION.search(p) else 0)
+        flags = (PERSON if FIRST_PERSON.search(p) or FIRST_VERB.search(p) else 0) | (NEGATION_WORD if NEGATION.search(p) else 0)
         flags |= (DIGIT if first.isdigit() else 0) | (QUOTE if first in "„“”\"«»‚‘'’" else 0) | (BRACKET if first in "()[]„“”\"«»" else 0) | (LOWER if word and first.islower() else 0) | (LETTER if word or first.isdigit() else 0)
-        at = frozenset(i for (stem, whole), x in STEMS.items() for part in re.findall(r"[^\W\d_]+", p) if (part == stem if whole else part.startswith(stem)) for i in x)
+        at = _phrases(p)
         name = word and first.isupper() and w not in self.known and w.lower() not in self.known
         seen = "#" if first.isdigit() else w
         masked = seen if not word or w in self.known or w.lower() in self.known else "N" if name else "u"
         kind = START if w == "\x00" else PLAIN if flags & LETTER else NEWLINE if w == "\n" else DASH if w == "-" else STOP if w in ".!?" else PUNCT
         h = [xxhash.xxh3_64_intdigest(x.encode("utf-8", "replace")) for x in (seen, masked)]
         self.rows.append((*h, flags | (PHRASE if at else 0), kind, name))
-        self.scores.append(self.lang.of_word(w) if word else [0.0] * (2 * len(self.lang.langs)))
         self.phrases.append(at)
         self.word.append(w)
         self.long.append(word and first.isupper() and len(w) > 4)
@@ -247,9 +291,11 @@ class Words:
                 flat.append(0)
             flat += [code[w] if w in code else add(w) for w in find(t)]
             ends.append(len(flat))
-        if not self.arrays or len(self.arrays[0]) < len(self.rows):
-            cols = list(zip(*self.rows))
-            self.arrays = [np.array(cols[0], np.uint64), np.array(cols[1], np.uint64), np.array(cols[2], np.int32), np.array(cols[3], np.int8), np.array(cols[4], bool), np.array(self.scores, np.float32)]
+        done = len(self.arrays[0]) if self.arrays else 0
+        if done < len(self.rows):
+            cols = list(zip(*self.rows[done:]))
+            new = [np.array(cols[0], np.uint64), np.array(cols[1], np.uint64), np.array(cols[2], np.int32), np.array(cols[3], np.int8), np.array(cols[4], bool), self.lang.of_words(self.word[done:])]
+            self.arrays = [np.concatenate(x) for x in zip(self.arrays, new)] if done else new
         return np.array(flat, dtype=np.int64), np.array(ends, dtype=np.int64)
 
     raw = property(lambda self: self.arrays[0])
@@ -360,24 +406,25 @@ class Runs:
             if k > 1:
                 yield own, h[own], size[own] == k
 
-    def last(self) -> list[list[tuple[int, int]]]:
-        """Per text, (rank, hash) of the runs at its end: 1 to 9 masked ones from the longest on, 11 to 19 raw ones, 0 the whole
-        text. Texts are given without what follows their last word."""
-        out: list[list[tuple[int, int]]] = [[] for _ in self.ends]
+    def last(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, rank, hash) of the runs at the end of texts that end in a word: ranks 1 to 9 for masked ones from the longest
+        on, 11 to 19 for raw ones, 0 for the whole text."""
+        out = []
         for h, kind, ends, raw in ((self.h, self.kind, self.ends, False), (self.raw, self.raw_kind, self.raw_ends, True)):
             if not len(h):
                 continue
             item, size, at = self._items(kind), np.diff(np.concatenate([[0], ends])), ends - 1
             for family, lengths, wanted in ((OF_RAW, RAW_RUNS, None),) if raw else ((OF_TEXT, RUNS, False), (OF_ITEM, ITEM_RUNS, True)):
                 for rank, k in enumerate(lengths, 11 if raw else 1):
-                    hs = self._hashes(h, k, family)
-                    for i in np.flatnonzero((size >= k) & (kind[at] == PLAIN)).tolist():
-                        if wanted is None or item[at[i]] == wanted:
-                            out[i].append((rank, int(hs[at[i]].astype(np.int64))))
+                    own = np.flatnonzero((size >= k) & (kind[at] == PLAIN) & (True if wanted is None else item[at] == wanted))
+                    run = np.full(len(own), family * 1000 + k, dtype=np.uint64)
+                    for i in range(k - 1, -1, -1):
+                        run = _add_word(run, h[at[own] - i])
+                    out.append((own, np.full(len(own), rank), run))
         for own, h, last in self._prefixes():
-            for i, x in zip(own[last].tolist(), h[last].astype(np.int64).tolist()):
-                out[i].append((0, x))
-        return out
+            out.append((own[last], np.zeros(int(last.sum()), np.int64), h[last]))
+        own, rank, run = (np.concatenate(x) if out else np.empty(0, np.int64) for x in (list(zip(*out)) or [[], [], []]))
+        return own, rank, run.astype(np.uint64).view(np.int64)
 
 
 def _unstopped(text: str) -> bool:
@@ -466,13 +513,15 @@ class Voter:
                 if has[QUOTE][i]:
                     person, negation = bool(FIRST_PERSON.search(p) or FIRST_VERB.search(p)), bool(NEGATION.search(p))
         low = s.lower()
+        if person and "i.e" in low:  # no person
+            person = bool(FIRST_PERSON.search(low.replace("i.e", "")) or FIRST_VERB.search(low))
         shares = any(x in s for x in names[1:] or names) or any(x.lower() in low for x in names if len(x) > 6)
         return [1 if phrase else -1, 1 if person and negation else 0 if person or negation else -1, 1 if bare else -1, -1 if shares else 1, 1 if 3 <= n_words <= 22 else -1]
 
     def _truncated(self, a: str, last: str, bracket: bool, asks: bool) -> list[int]:
         """An open bracket or quotation; an ending that calls for more; no final stop; not the end of a question."""
         s = _without_note(a)
-        opened = bracket and (s.count("(") > s.count(")") or s.count("[") > s.count("]") or s.count("„") > s.count("“") + s.count("”") or s.count("«") > s.count("»") or (s.count("“") > s.count("”") and "„" not in s) or s.count('"') % 2 == 1)
+        opened = bracket and _opened(s)
         stopped = s.rstrip(CLOSERS).endswith(STOPS)
         end = s[-24:]
         item = s[s.rfind("\n") + 1 :].strip() if s[-1:] in ".)-•*" else ""
@@ -507,7 +556,7 @@ class Voter:
         if asked and (la in asked or ta in asked):  # in the language that was asked for
             return [-1, -1, -1]
         by_words = 0 if mq < 1 or ma < 1 else -1 if lq == la else 1 if mq + ma >= 3 else 0
-        by_grams = 0 if nq < 2 or na < 3 else -1 if tq == ta else 1 if na > 5 else 0
+        by_grams = 0 if nq < 2 or na < 3 else -1 if tq == ta else 1 if nq >= 4 and na > 8 else 0
         clue = {k for k, x in CLUES.items() if any(c in s for c in x)} if not s.isascii() else set()
         by_letters = 0 if len(clue) != 1 or (lq != tq and mq >= 1) else -1 if lq in clue else 1
         return [by_words, by_grams, by_letters]
@@ -583,10 +632,12 @@ def _ends(df: DataFrame, words, key: str, text: str) -> DataFrame:
         w = words.value
         for batch in batches:
             rows = [(k, _without_note(t).rstrip(CLOSERS)) for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if t and _unstopped(t)]
-            rows = [(k, t) for k, t in rows if t[-1:].isalnum()]  # what ends in another mark is no run of words
-            got = Runs(w, *w.codes([t for _, t in rows])).last() if rows else []
-            cols = list(zip(*((k, r, h, t[t.rfind("\n") + 1 :].lstrip().startswith("-"), t.split()[-1][:1].islower()) for (k, t), x in zip(rows, got) for r, h in x))) or [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], batch.column(0).type), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.bool_()), pa.array(cols[4], pa.bool_())], names=schema.names)
+            rows = [(k, t) for k, t in rows if t[-1:].isalnum() and not _opened(t)]  # other endings are no end of a sentence by their words
+            at, rank, h = Runs(w, *w.codes([t for _, t in rows])).last()
+            keys = pa.array([k for k, _ in rows], batch.column(0).type).take(pa.array(at))
+            item = np.array([t[t.rfind("\n") + 1 :].lstrip().startswith("-") for _, t in rows], dtype=bool)
+            lower = np.array([t.split()[-1][:1].islower() for _, t in rows], dtype=bool)
+            yield pa.RecordBatch.from_arrays([keys, pa.array(rank.astype(np.int32)), pa.array(h), pa.array(item[at]), pa.array(lower[at])], names=schema.names)
 
     return df.select(F.col(key).alias("_k"), F.col(text).cast("string").alias("_t")).filter(~F.col("_t").rlike(r"[.!?…]\s*\z")).mapInArrow(runs, schema)
 

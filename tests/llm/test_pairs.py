@@ -148,10 +148,11 @@ def test_runs_at_the_end_are_among_all_runs():
     for h, done in pairs.Runs(w, *whole).all():
         for x, d in zip(h.astype("int64").tolist(), done.tolist()):
             met.setdefault(x, []).append(d)
-    ends = pairs.Runs(w, *w.codes(["liegt im Tal von Ost Wyn", "- die alte"])).last()
-    got = [{r: met.get(h) for r, h in x} for x in ends]
+    got = [{}, {}]
+    for i, r, h in zip(*(x.tolist() for x in pairs.Runs(w, *w.codes(["liegt im Tal von Ost Wyn", "- die alte"])).last())):
+        got[i][r] = met.get(h)
     assert [got[0][r] for r in (2, 3, 4)] == [[True]] * 3 and got[0][13] is None and got[1][1] == [True]
-    assert pairs.Runs(w, *w.codes(["", ""])).last() == [[], []] and not len(w.codes([])[1])
+    assert not len(pairs.Runs(w, *w.codes(["", ""])).last()[0]) and not len(pairs.Runs(w, *w.codes([])).last()[0])
 
 
 def test_every_phrase_is_searched_where_a_word_stands_for_it():
