@@ -13,8 +13,9 @@ from pyspark.sql.types import StringType
 #: White space as Python sees it: Unicode's, and the four separators U+001C to U+001F.
 WS = r"[\s\x1c-\x1f]"
 LINE_END = "\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
-#: Characters that NFKC may change or compose: everything beyond Latin-1, and a few within it.
-NFKC_SENSITIVE = "[\u00a0\u00a8\u00aa\u00af\u00b2-\u00b5\u00b8-\u00ba\u00bc-\u00be]|[^\\x00-\u00ff]"
+#: Characters that NFKC may change or compose: a few of Latin-1, and all others but European letters, dashes, quotes and
+#: the like. The tests compare the class with the form itself.
+NFKC_SENSITIVE = "[\u00a0\u00a8\u00aa\u00af\u00b2-\u00b5\u00b8-\u00ba\u00bc-\u00be]|[^\\x00-\u0131\u0134-\u013e\u0141-\u0148\u014a-\u017e\u0391-\u03a1\u03a3-\u03a9\u03b1-\u03c9\u0400-\u045f\u2010\u2012-\u2016\u2018-\u2023\u2030-\u2032\u2039-\u203b\u20ac]"
 DUMP_HOST = "https://dumps.wikimedia.org"
 
 
@@ -51,7 +52,7 @@ def _nfkc(s: pd.Series) -> pd.Series:
 def nfkc(c: Column | str) -> Column:
     """Unicode form NFKC. Only texts with a character that it may change are sent to Python."""
     needs = col(c).rlike(NFKC_SENSITIVE)
-    return F.when(needs, _nfkc(F.when(needs, col(c)))).otherwise(col(c))
+    return F.coalesce(_nfkc(F.when(needs, col(c))), col(c))
 
 
 def normalize(c: Column | str) -> Column:
@@ -113,6 +114,39 @@ def markdown_to_text(c: Column | str) -> Column:
     return py_strip(x)
 
 
+#: The marks of wiki pages that plain text loses; the first rule is repeated for nested templates and tables.
+WIKI_NESTED = (r"(?s)\{\{(?:(?!\{\{|\}\}).)*+\}\}|\{\|(?:(?!\{\||\|\}).)*+\|\}", "")
+WIKI_RULES = [
+    (r"(?s)<!--.*?-->", ""),
+    (r"(?is)<(ref|math|gallery|timeline|code|pre)\b[^>]*?/>", ""),
+    (r"(?is)<(ref|math|gallery|timeline|code|pre)\b[^>]*>.*?</\1\s*>", ""),
+    (r"(?i)\[\[(?:file|image|datei|bild|fichier|archivo|imagen|bestand|category|kategorie|catégorie|categoría|categorie):(?:[^\[\]]|\[\[[^\[\]]*\]\])*+\]\]", ""),
+    (r"\[\[(?:[^\[\]|]*\|)?([^\[\]|]*)\]\]", "$1"),
+    (r"\[(?:https?:)?//[^\s\]]+\s+([^\]]*)\]", "$1"),
+    (r"\[(?:https?:)?//[^\s\]]+\]", ""),
+    (r"'{2,5}", ""),
+    (r"(?m)^(={1,6})[ \t]*(.+?)[ \t]*\1[ \t]*$", "$2"),
+    (r"(?m)^[*#:;]+[ \t]*", ""),
+    (r"__[A-Z]+__", ""),
+    (r"<[^>]+>", ""),
+    (r"&nbsp;", " "),
+    (r"\n{3,}", "\n\n"),
+]
+WIKI_DEPTH = 6
+
+
+def wiki_to_text(c: Column | str) -> Column:
+    """A wiki page without markup (S5): templates and tables go, up to ``WIKI_DEPTH`` within one another, links keep their label."""
+    x = col(c)
+    for pattern, to in WIKI_RULES[:3]:
+        x = F.regexp_replace(x, pattern, to)
+    for _ in range(WIKI_DEPTH):
+        x = F.regexp_replace(x, *WIKI_NESTED)
+    for pattern, to in WIKI_RULES[3:]:
+        x = F.regexp_replace(x, pattern, to)
+    return py_strip(x)
+
+
 def strip_tags(c: Column | str) -> Column:
     """Without tags; what stands between them stays (T4.6)."""
     return F.regexp_replace(col(c), r"<[^>]+>", "")

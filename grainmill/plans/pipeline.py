@@ -5,16 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grainmill.operators.dedup import near_dedup
+from grainmill.operators.dedup import near_dedup, without
 from grainmill.operators.filters import first_rows, min_chars
-from grainmill.operators.pack import pack, word_ids
+from grainmill.operators.pack import END_OF_TEXT, RANKS, pack, rank_tokenizer, tokenize, word_ids
 from grainmill.operators.qa import prompt
 from grainmill.operators.sft import examples
 
 
 def clean_corpus(docs: DataFrame, order: str = "ord") -> DataFrame:
     """The documents that are long enough and neither exact nor near copies of earlier ones, as they came."""
-    return docs.join(near_dedup(docs, order).filter("status = 'kept'").select(order), order, "left_semi")
+    return without(docs, near_dedup(docs, order).filter("status != 'kept'"), order)
+
+
+def packed_by_ranks(corpus: DataFrame, seq_len: int = 2048, order: str = "ord", ranks: str = RANKS, eos: int = END_OF_TEXT) -> DataFrame:
+    """Sequences of a public tokenizer's ids."""
+    return pack(corpus.select(order, tokenize("text", rank_tokenizer(ranks)).alias("ids")), seq_len, order, eos=eos)
 
 
 def packed(corpus: DataFrame, seq_len: int = 2048, order: str = "ord", eos: int = 0) -> DataFrame:

@@ -77,8 +77,8 @@ def minhash_signature(spark: SparkSession, d: str) -> DataFrame:
 
 def lsh_buckets(spark: SparkSession, d: str) -> DataFrame:
     """D3: buckets that several documents share."""
-    firsts = dedup.exact_dedup(_corpus(spark, d))
-    return dedup.bucket_sizes(dedup.buckets(firsts)).select(F.col("band").cast("bigint").alias("band"), "key", "n_docs", "first_ord")
+    marked = dedup._first_wins(dedup.signatures(_corpus(spark, d)), "ord")
+    return dedup.bucket_sizes(dedup.exploded(marked.filter("status = 'kept'"))).select(F.col("band").cast("bigint").alias("band"), "key", "n_docs", "first_ord")
 
 
 def near_dedup(spark: SparkSession, d: str) -> DataFrame:

@@ -5,16 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grainmill.functions.text import clean_pdf_text, file_stem, markdown_to_text, py_strip, stem_to_title, universal_newlines
-from grainmill.operators.filters import min_length
+from grainmill.functions.text import clean_pdf_text, file_stem, markdown_to_text, py_strip, stem_to_title, universal_newlines, wiki_to_text
+from grainmill.operators.filters import min_length, with_errors
 from grainmill.operators.split import path_parts, union_sources
 
 SHARD = "id string, title string, url string, text string"
 CORPUS = "id string, title string, url string, text string, source string, lang string, file string"
-TEXT_SUFFIXES = r"(?i)\.(md|markdown|txt|rst)\z"
+TEXT_FILES = "*.{[mM][dD],[mM][aA][rR][kK][dD][oO][wW][nN],[tT][xX][tT],[rR][sS][tT]}"
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str = CORPUS) -> DataFrame:
@@ -33,52 +33,86 @@ def read_jsonl_compat(spark: SparkSession, path: str, columns: list[str]) -> Dat
     return raw.select(*map(field, columns))
 
 
+def _place() -> Column:
+    """A row's place in its file: where its split begins, then its number within the task, which reads a split in order."""
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return (F.col("_metadata.file_block_start").cast("decimal(38,0)") * F.lit(10**10).cast("decimal(11,0)") + row).cast("decimal(38,0)")
+
+
 def read_ordered(spark: SparkSession, paths: list[str], schema: str = CORPUS) -> DataFrame:
-    """Several files as one collection with ``ord``: earlier files first, then the place in the file."""
+    """Several files as one collection with ``ord``: earlier files first, then the place in the file.
+
+    ``ord`` is a decimal, 10^26 for each file and 10^10 for each byte of a split's start, so that it rises with the lines
+    of files of any size.
+    """
     frames = []
     for p in paths:
-        lines = spark.read.text(p).withColumn("_at", F.monotonically_increasing_id()).filter(py_strip("value") != "")
+        lines = spark.read.text(p).select("value", _place().alias("_at")).filter(py_strip("value") != "")
         doc = F.from_json("value", schema, {"mode": "FAILFAST"})
         frames.append(lines.select(doc.alias("_d"), "_at").select("_d.*", "_at"))
     both = union_sources(frames)
-    return both.withColumn("ord", F.col("source_rank").cast("bigint") * (1 << 50) + F.col("_at")).drop("_at", "source_rank")
+    return both.withColumn("ord", (F.col("source_rank").cast("decimal(11,0)") * F.lit("1" + "0" * 26).cast("decimal(27,0)") + F.col("_at")).cast("decimal(38,0)")).drop("_at", "source_rank")
 
 
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
-    """The text column alone (S3); a file without it fails."""
-    cols = spark.read.json(path).columns
-    if "text" not in cols:
+    """The text column alone (S3), in one pass; a line without it fails the job. The first line is looked at beforehand."""
+    rows = spark.read.option("singleVariantColumn", "v").json(path)
+    field = F.variant_get("v", "$.text", "variant")
+    if (first := rows.select(field.isNull().alias("none")).first()) and first["none"]:
         raise KeyError("text")
-    return spark.read.schema("text string").option("mode", "FAILFAST").json(path)
+    return rows.select(F.when(field.isNull(), F.raise_error(F.lit("a line has no text"))).otherwise(F.variant_get("v", "$.text", "string")).alias("text"))
 
 
 def read_wiki_shards(spark: SparkSession, folder: str, lang: str) -> DataFrame:
-    """Extractor shards below ``folder`` as documents, with their place."""
+    """Extractor shards below ``folder`` as documents (S4, F1, P1); ordered by ``shard_dir, shard, place``."""
     rows = spark.read.schema(SHARD).option("mode", "FAILFAST").option("recursiveFileLookup", True).option("pathGlobFilter", "wiki_*").json(folder)
     parts = F.split(F.col("_metadata.file_path"), "/")
-    rows = rows.select("*", F.element_at(parts, -2).alias("shard_dir"), F.element_at(parts, -1).alias("shard"), F.monotonically_increasing_id().alias("place"))
+    rows = rows.select("*", F.element_at(parts, -2).alias("shard_dir"), F.element_at(parts, -1).alias("shard"), _place().alias("place"))
     return min_length(rows, 200, store_stripped=True).withColumns({"source": F.lit("wikipedia"), "lang": F.lit(lang)})
 
 
-def read_wiki_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Pages of a dump, bz2 or plain, with markup as it stands."""
-    schema = "id string, title string, ns string, revision struct<text: struct<_VALUE: string>>"
-    return spark.read.format("xml").option("rowTag", "page").schema(schema).load(path).select("id", "title", "ns", F.col("revision.text._VALUE").alias("text"))
+def read_wiki_pages(spark: SparkSession, path: str, plain: bool = False) -> DataFrame:
+    """Pages of a dump, bz2 or plain (S5); with ``plain`` without markup and without redirects and pages of other kinds."""
+    schema = "id string, title string, ns string, redirect struct<_title: string>, revision struct<text: struct<_VALUE: string>>"
+    rows = spark.read.format("xml").option("rowTag", "page").schema(schema).load(path)
+    text = F.col("revision.text._VALUE")
+    if not plain:
+        return rows.select("id", "title", "ns", text.alias("text"))
+    return rows.filter("ns = '0' and redirect is null").select("id", "title", "ns", wiki_to_text(text).alias("text"))
 
 
-def _files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
-    """``file`` (relative path), ``content``, for files whose name matches, read recursively."""
+def _files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
+    """``file`` (relative path), ``content``, for files whose name matches, read recursively; others are not opened."""
     base = folder.rstrip("/") + "/"
     full = F.url_decode(F.regexp_replace(F.regexp_replace("path", r"\+", "%2B"), r"^file:/*", "/"))
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    return files.filter(F.col("path").rlike(pattern)).select(F.substring(full, len(base) + 1, 1 << 20).alias("file"), "content")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(folder)
+    return files.select(F.substring(full, len(base) + 1, 1 << 20).alias("file"), "content")
+
 
+def pdf_pages() -> Callable[[bytes], list[str]]:
+    """A reader of PDF pages, if one of two public libraries is installed."""
+    try:
+        import fitz
 
-def read_pdfs(spark: SparkSession, folder: str, pages: Callable[[bytes], list[str]], least: int = 500) -> tuple[DataFrame, DataFrame]:
+        return lambda content: [page.get_text() for page in fitz.open(stream=content, filetype="pdf")]
+    except ImportError:
+        pass
+    try:
+        import pypdf
+    except ImportError as e:
+        raise RuntimeError("no PDF library is installed; give read_pdfs a function of your own") from e
+    import io
+
+    return lambda content: [page.extract_text() or "" for page in pypdf.PdfReader(io.BytesIO(content)).pages]
+
+
+def read_pdfs(spark: SparkSession, folder: str, pages: Callable[[bytes], list[str]] | None = None, least: int = 500) -> tuple[DataFrame, DataFrame]:
     """Documents of PDF files, and the files that could not be read with their errors.
 
-    ``pages`` turns a file's bytes into page texts; blank pages are dropped, the others joined with an empty line.
+    ``pages`` turns a file's bytes into page texts (default: a public library if there is one); blank pages are dropped,
+    the others joined with an empty line.
     """
+    pages = pages or pdf_pages()
 
     def extract(frames):
         for pdf in frames:
@@ -90,7 +124,7 @@ def read_pdfs(spark: SparkSession, folder: str, pages: Callable[[bytes], list[st
                     rows.append((f, None, str(e) or type(e).__name__))
             yield pd.DataFrame(rows, columns=["file", "text", "error"])
 
-    rows = _files(spark, folder, r"\.pdf\z").mapInPandas(extract, "file string, text string, error string")
+    rows = _files(spark, folder, "*.pdf").mapInPandas(extract, "file string, text string, error string")
     good = rows.filter("error is null").withColumn("text", clean_pdf_text("text"))
     stem = file_stem("file")
     docs = good.select(stem.alias("id"), stem_to_title(stem).alias("title"), "text", F.lit("pdf").alias("source"), "file")
@@ -106,17 +140,29 @@ def join_pages(pages: DataFrame, path: str = "path", page: str = "page", text: s
     return p.groupBy("path").agg(F.array_join(F.transform(F.array_sort(F.collect_list("p")), lambda x: x["t"]), "\n\n").alias("text"))
 
 
-def read_text_files(spark: SparkSession, folder: str, least: int = 200) -> DataFrame:
-    """Documents of Markdown and text files (S7, F3, P3): UTF-8 with replacement, universal newlines, plain text."""
-    rows = _files(spark, folder, TEXT_SUFFIXES)
+def scan_text_files(spark: SparkSession, folder: str, least: int = 200) -> tuple[DataFrame, DataFrame]:
+    """Documents of Markdown and text files (S7, F3, P3), and the files that could not be read with their errors (F8): UTF-8
+    with replacement, universal newlines, plain text."""
 
-    @F.pandas_udf("string")
-    def decode(s: pd.Series) -> pd.Series:
-        return s.map(lambda b: bytes(b).decode("utf-8", "replace"), na_action="ignore")
+    def decode(frames):
+        for pdf in frames:
+            rows = []
+            for f, content in zip(pdf["file"], pdf["content"]):
+                try:
+                    rows.append((f, bytes(content).decode("utf-8", "replace"), None))
+                except Exception as e:  # one bad file is reported and skipped
+                    rows.append((f, None, str(e) or type(e).__name__))
+            yield pd.DataFrame(rows, columns=["file", "text", "error"])
 
-    text = markdown_to_text(universal_newlines(decode("content")))
+    rows, errors = with_errors(_files(spark, folder, TEXT_FILES).mapInPandas(decode, "file string, text string, error string"), "text")
+    text = markdown_to_text(universal_newlines("text"))
     docs = rows.select(F.col("file").alias("id"), stem_to_title(file_stem("file")).alias("title"), text.alias("text"), F.lit("markdown").alias("source"), "file")
-    return docs.filter(F.length("text") >= least)
+    return docs.filter(F.length("text") >= least), errors.select("file", "error")
+
+
+def read_text_files(spark: SparkSession, folder: str, least: int = 200) -> DataFrame:
+    """The documents of ``scan_text_files``."""
+    return scan_text_files(spark, folder, least)[0]
 
 
 def in_path_order(df: DataFrame, path: str = "file") -> DataFrame:
@@ -137,9 +183,9 @@ def checksum_of(checksums: DataFrame, order: str | None = None) -> DataFrame:
     return known.groupBy("filename").agg(first.alias("md5"))
 
 
-def file_digests(spark: SparkSession, folder: str, pattern: str = ".") -> DataFrame:
+def file_digests(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
     """``file, md5`` of the files below a folder."""
-    return _files(spark, folder, pattern).select("file", F.md5("content").alias("md5"))
+    return _files(spark, folder, glob).select("file", F.md5("content").alias("md5"))
 
 
 def packed_rows(spark: SparkSession, path: str) -> int:

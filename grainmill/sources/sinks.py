@@ -17,15 +17,16 @@ def write_jsonl(df: DataFrame, path: str, keep_nulls: bool = False, mode: str =
 
 
 def export_one_file(df: DataFrame, path: str, keep_nulls: bool = False) -> None:
-    """One JSON lines file, for small results only: written beside the target, then renamed over it."""
+    """One JSON lines file, for small results only: written beside the target, then renamed over it. Nothing lies at the target in part."""
     spark = df.sparkSession
     tmp = f"{path}.tmp"
     write_jsonl(df.coalesce(1), tmp, keep_nulls)
     jvm, target, fs = _path(spark, path)
     part = next(s.getPath() for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(tmp)) if s.getPath().getName().startswith("part-"))
-    if fs.exists(target):
-        fs.delete(target, True)
-    fs.rename(part, target)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri() if target.toUri().getScheme() else fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    rename = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    rename[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(part, fs.makeQualified(target), rename)  # one step: a reader sees the old file or the new one
     fs.delete(jvm.org.apache.hadoop.fs.Path(tmp), True)
 
 

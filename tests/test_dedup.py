@@ -75,3 +75,31 @@ def test_near_status(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "ord bigint, text string")
     assert dedup.near_dedup(df).count() == 0 and dedup.exact_dedup(df).count() == 0
+
+
+def test_near_rows_by_name(spark):
+    base = [f"w{i}" for i in range(400)]
+    one, other = [*base[:399], "other"], [f"v{i}" for i in range(300)]
+    df = spark.createDataFrame(list(enumerate([" ".join(base), " ".join(one), " ".join(one).upper(), " ".join(other)])), "ord bigint, text string")
+    assert {r["ord"]: r["status"] for r in dedup.near_dedup(df).collect()} == {0: "kept", 1: "near", 2: "exact", 3: "kept"}
+    # a layout of many single rows calls more alike, one of a single long band only what is equal
+    assert dedup.layout() == (dedup.BANDS, dedup.ROWS) and dedup.layout(0.3, 16)[1] < dedup.layout(0.9, 16)[1]
+    assert {r["ord"]: r["status"] for r in dedup.near_dedup(df, threshold=0.9, permutations=16).collect()}[3] == "kept"
+
+
+def test_keys_of_both_ways_agree(spark):
+    texts = ["Ein  Text " * 60, "x " * 300, "Ａ" * 250, None, "short", "ÄÖ " * 100]
+    df = spark.createDataFrame(list(enumerate(texts)), "ord bigint, text string").repartition(2)
+    a = {(r["ord"], r["band"], r["key"]) for r in dedup.buckets(df.filter("length(text) > 150")).collect()}
+    b = {(r["ord"], r["band"], r["key"]) for r in dedup.exploded(dedup.signatures(df)).collect()}
+    assert a == b and len(b) == 4 * dedup.BANDS
+    assert {r["ord"]: r["sha"] for r in dedup.signatures(df).collect()} == {r["ord"]: r["sha"] for r in dedup.mark_exact(df).collect()}
+
+
+def test_many_dropped_rows_need_no_broadcast(spark, monkeypatch):
+    from grainmill import runtime
+
+    df = spark.createDataFrame([(i, LONG + str(i % 7)) for i in range(60)], "ord bigint, text string")
+    small = sorted(r["ord"] for r in dedup.exact_dedup(df).collect())
+    monkeypatch.setattr(runtime.join_checked, "__defaults__", ("inner", 5))
+    assert sorted(r["ord"] for r in dedup.exact_dedup(df).collect()) == small == list(range(7))
