@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -41,13 +41,13 @@ A3: The Eiffel Tower stands 330 metres tall.
 Text: {text}
 
 Q1:"""
-#: A question and the answer with its number, up to the next question or the end.
+#: Fixed value: a question and the answer with its number, up to the next question or the end.
 PAIR = r"(?sidU)[FQ](\d+):[\s\x1c-\x1f]*(.+?)[\s\x1c-\x1f]*\n[AB]\1:[\s\x1c-\x1f]*(.+?)(?=\n[FQ]\d+:|\z)"
 
 
 @dataclass(frozen=True)
 class Sampling:
-    """What a backend is asked for (Q3)."""
+    """What a backend is asked for (Q3). The defaults are fixed values."""
 
     temperature: float = 0.7
     max_new_tokens: int = 768
@@ -90,3 +90,16 @@ def parse(df: DataFrame, raw: str = "raw", source: str = "source", lang: str = "
     fit = F.filter(pairs, lambda p: (F.length(p["q"]) >= least) & (F.length(p["a"]) >= least))
     rows = df.select(*keep, F.col(source).alias("_s"), F.col(lang).alias("_l"), F.explode(fit).alias("_p"))
     return rows.select(*keep, F.col("_p.q").alias("instruction"), F.lit("").alias("input"), F.col("_p.a").alias("output"), F.coalesce("_s", F.lit("")).alias("source"), F.coalesce("_l", F.lit("")).alias("lang"))
+
+
+def watched(prompts: DataFrame, name: str = "documents seen") -> tuple[DataFrame, Observation]:
+    """The prompts, and a counter of those read that fills while an action runs and costs no pass of its own (Q5)."""
+    seen = Observation(name)
+    return prompts.observe(seen, F.count(F.lit(1)).alias("n")), seen
+
+
+def progress(raw: DataFrame, pairs: DataFrame, source: str = "source") -> DataFrame:
+    """``source, n_docs, n_pairs``: model answers read and rows made of them, in the end (Q5). A null source reads empty."""
+    docs = raw.groupBy(F.coalesce(F.col(source), F.lit("")).alias("source")).agg(F.count("*").alias("n_docs"))
+    made = pairs.groupBy(F.coalesce(F.col(source), F.lit("")).alias("source")).agg(F.count("*").alias("n_pairs"))
+    return docs.join(made, "source", "left").select("source", "n_docs", F.coalesce("n_pairs", F.lit(0)).alias("n_pairs"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from grainmill.operators.dedup import BANDS, PRIME, ROWS
+from grainmill.operators.pack import END_OF_TEXT, RANKS
 from grainmill.operators.qa import PROMPT_DE, PROMPT_EN
 from grainmill.operators.sft import CONTINUE, SUMMARIZE, TITLE_QA
 
@@ -76,6 +77,72 @@ KINDS = f"""r AS (SELECT ord, list_transform(list_sort([{RANK}]), lambda x: x.k)
 made AS (SELECT ord, 'summary' AS kind, instruction, input, output, source, lang FROM ({SUMMARY_ROW}) UNION ALL SELECT ord, 'title', instruction, input, output, source, lang FROM ({TITLE_ROW}) UNION ALL SELECT ord, 'continue', instruction, input, output, source, lang FROM ({CONTINUE_ROW}))"""
 STEM = "regexp_replace(regexp_extract(file, '([^/]*)$', 1), '^(.+)\\.[^.]*$', '\\1')"
 
+#: The greedy rule as a walk over the documents with an earlier partner, one by one in order.
+GREEDY = f"""{MARKED}, src AS (SELECT ord, {norm('text')} AS t FROM marked WHERE status = 'kept'), {GRAMS}, {BANDKEYS},
+e AS (SELECT DISTINCT a.ord AS i, b.ord AS j FROM k a JOIN k b USING (band, key) WHERE a.ord < b.ord),
+cand AS (SELECT j, row_number() OVER (ORDER BY j) AS r, list(i) AS before FROM e GROUP BY j),
+walk AS (SELECT 0::BIGINT AS r, []::BIGINT[] AS gone UNION ALL SELECT w.r + 1, CASE WHEN len(list_filter(c.before, lambda x: NOT list_contains(w.gone, x))) > 0 THEN list_append(w.gone, c.j) ELSE w.gone END FROM walk w JOIN cand c ON c.r = w.r + 1),
+near AS (SELECT unnest(gone) AS ord FROM (SELECT gone FROM walk ORDER BY r DESC LIMIT 1)),
+final AS (SELECT marked.ord, marked.text, CASE WHEN near.ord IS NOT NULL THEN 'near' WHEN marked.status = 'duplicate' THEN 'exact' ELSE marked.status END AS status FROM marked LEFT JOIN near USING (ord))"""
+
+
+def markdown(x: str) -> str:
+    """The rules in order; a back-reference to one to three marks is spelled out, and what may not begin with the marks too."""
+
+    def marks(c: str) -> str:
+        return f"{c}{{3}}((?:[^{c}]|{c}[^{c}]|{c}{c}[^{c}])(?s:.*?)){c}{{3}}|{c}{{2}}((?:[^{c}]|{c}[^{c}])(?s:.*?)){c}{{2}}|{c}([^{c}]+?){c}"
+
+    rules = [
+        (r"```(?s:.*?)```", ""), (r"~~~(?s:.*?)~~~", ""), (r"`[^`\n]+`", ""), (r"!\[.*?\]\(.*?\)", ""), (r"\[([^\]]+)\]\([^\)]+\)", r"\1"), (r"<[^>]+>", ""), (rf"(?m)^#{{1,6}}{WS}+", ""), (rf"(?m)^[=]{{3,}}{WS}*$", ""), (rf"(?m)^[-]{{3,}}{WS}*$", ""),
+        (marks(r"[*]").replace("[^[*]]", "[^*]"), r"\1\2\3"), (marks("_"), r"\1\2\3"), (rf"(?m)^[*_]{{3,}}{WS}*$", ""), (rf"(?m)^>{WS}?", ""), (r"(?m)^\.\. [\pL\pN_][\pL\pN_-]*::", ""), (r"\n{3,}", "\n\n"),
+    ]
+    for pattern, to in rules:
+        x = f"regexp_replace({x}, {q(pattern)}, {q(to)}, 'g')"
+    return strip(x)
+
+
+#: Numbers of questions that are told apart where a pattern cannot compare two numbers.
+NUMBERS = range(31)
+
+
+def _pair(n: int) -> str:
+    return rf"[FQ]{n}:{WS}*(.+?){WS}*\n[AB]{n}:{WS}*(.+?)"
+
+
+def _first(k: int) -> str:
+    each = " ".join(f"WHEN '{n}' THEN regexp_extract(whole, {q(rf'(?is)^{_pair(n)}(?:\n[FQ][0-9]+:|\z)')}, {k})" for n in NUMBERS)
+    return strip(f"CASE regexp_extract(whole, '(?i)^[FQ]([0-9]+):', 1) {each} END")
+
+
+ANY_PAIR = rf"(?is)(?:{'|'.join(_pair(n).replace('(.+?)', '(?:.+?)') for n in NUMBERS)})(?:\n[FQ][0-9]+:|\z)"
+REST = "substr(rest, instr(rest, whole) + length(whole) - length(regexp_extract(whole, '(?i)\n[FQ][0-9]+:$', 0)))"
+PARSED = f"""t AS (SELECT raw_id, source, lang, rest, regexp_extract(rest, {q(ANY_PAIR)}, 0) AS whole FROM (SELECT raw_id, source, lang, 'Q1:' || raw AS rest FROM qa_raw WHERE raw IS NOT NULL)
+UNION ALL SELECT raw_id, source, lang, {REST}, regexp_extract({REST}, {q(ANY_PAIR)}, 0) FROM t WHERE whole <> ''),
+pairs AS (SELECT raw_id, {_first(1)} AS instruction, '' AS input, {_first(2)} AS output, coalesce(source, '') AS source, coalesce(lang, '') AS lang FROM t WHERE whole <> ''),
+parsed AS (SELECT * FROM pairs WHERE length(instruction) >= 10 AND length(output) >= 10)"""
+#: Stands between pieces where a blank goes to the next word; no text holds it.
+BAR = r"\x{f0000}"
+SPACE = r"[\s\x{0b}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+NO_SPACE = SPACE.replace("[", "[^", 1)
+SPLIT = rf"'(?:s|t|re|ve|m|ll|d)| ?\pL+| ?\pN+| ?{NO_SPACE[:-1]}\pL\pN{BAR}]+|{SPACE}+"
+
+
+def tokens(src: str, key: str, ranks: str) -> str:
+    """CTEs that end in ``ids (piece, ids)`` and ``pc (key, piece, pos)``: byte pair encoding of ``src``'s texts by a file of ranks.
+    A step merges the pair of least rank in each piece, the first one where it is met twice."""
+    return f"""v AS MATERIALIZED (SELECT hex(from_base64(t)) AS h, r FROM read_csv('{ranks}', delim=' ', header=false, quote='', escape='', columns={{'t': 'VARCHAR', 'r': 'INTEGER'}})),
+pl AS (SELECT {key}, regexp_extract_all(regexp_replace(text, {q(f'({SPACE}+)({SPACE}{NO_SPACE})')}, '\\1' || chr(983040) || '\\2', 'g'), {q(SPLIT)}) AS p FROM {src} WHERE text IS NOT NULL),
+pc AS MATERIALIZED (SELECT {key}, unnest(p) AS piece, generate_subscripts(p, 1) AS pos FROM pl),
+st AS (SELECT piece, 0 AS step, list_transform(range(0, length(hex(encode(piece))) // 2), lambda i: substr(hex(encode(piece)), 2 * i + 1, 2)) AS syms FROM (SELECT DISTINCT piece FROM pc)
+UNION ALL SELECT piece, step + 1, list_concat(list_append(syms[:i - 1], syms[i] || syms[i + 1]), syms[i + 2:]) FROM (SELECT piece, step, any_value(syms) AS syms, arg_min(i, r * 1000000::BIGINT + i) AS i FROM (SELECT piece, step, syms, unnest(range(1, len(syms))) AS i FROM st) JOIN v ON v.h = syms[i] || syms[i + 1] GROUP BY piece, step)),
+ids AS (SELECT piece, list(r ORDER BY i) AS ids FROM (SELECT piece, unnest(syms) AS s, generate_subscripts(syms, 1) AS i FROM (SELECT piece, arg_max(syms, step) AS syms FROM st GROUP BY piece)) JOIN v ON v.h = s GROUP BY piece)"""
+
+
+RANK_STREAM = f"""{tokens('corpus', 'ord', RANKS)}, d AS (SELECT ord, flatten(list(ids.ids ORDER BY pos)) AS ids FROM pc JOIN ids USING (piece) GROUP BY ord),
+w AS (SELECT ord, list_append(coalesce(d.ids, []::INTEGER[]), {END_OF_TEXT}) AS ids FROM corpus LEFT JOIN d USING (ord)), {STREAM[STREAM.index('o AS (') :].replace('0::BIGINT', f'{END_OF_TEXT}')}"""
+LABEL = f"lower({strip('source')})"
+JSON = "'{' || array_to_string(list_filter([" + ", ".join(f"CASE WHEN {c} IS NOT NULL THEN '\"{c}\":' || to_json({c}) END" for c in ("id", "title", "url", "text", "source", "lang", "file")) + "], lambda x: x IS NOT NULL), ',') || '}'"
+
 SQL = {
     "corpus_min_length": f"SELECT ord, length(text) AS n_chars FROM corpus WHERE length({strip('text')}) >= 200",
     "wiki_min_length": f"SELECT ord, length({strip('text')}) AS n_chars, md5({strip('text')}) AS digest FROM corpus WHERE source = 'wikipedia' AND length({strip('text')}) >= 200",
@@ -115,4 +182,20 @@ SQL = {
     "path_components": "SELECT pdf_no, p[1] AS top, row_number() OVER (PARTITION BY p[1] ORDER BY p) AS rank FROM (SELECT pdf_no, string_split(file, '/') AS p FROM pdfs)",
     "checksum_lookup": "SELECT filename, min(lower(md5)) AS md5 FROM checksums WHERE md5 IS NOT NULL AND filename IS NOT NULL GROUP BY filename",
     "text_md5": "SELECT ord, md5(text) AS md5 FROM corpus",
+    "near_dedup": f"WITH RECURSIVE {GREEDY} SELECT ord, status FROM final",
+    "stage_counters": f"WITH RECURSIVE {GREEDY} SELECT status, count(*) AS n FROM final GROUP BY status",
+    "clean_corpus": f"WITH RECURSIVE {GREEDY} SELECT ord, md5(text) AS digest FROM final WHERE status = 'kept'",
+    "markdown_to_text": f"SELECT doc_id, {markdown('text')} AS text FROM documents",
+    "qa_parse": f"WITH RECURSIVE {PARSED} SELECT * FROM parsed",
+    "corpus_json": f"SELECT ord, {JSON} AS json FROM corpus",
+    "wiki_records": f"SELECT ord, id, title, url, md5({strip('text')}) AS digest, 'wikipedia' AS source, 'de' AS lang FROM corpus WHERE {LABEL} = 'wikipedia' AND length({strip('text')}) >= 200",
+    "markdown_files": f"SELECT ord, file AS id, translate({STEM}, '_-', '  ') AS title, md5(t) AS digest FROM (SELECT ord, file, {markdown('text')} AS t FROM corpus WHERE {LABEL} = 'markdown' AND file IS NOT NULL) WHERE length(t) >= 200",
+    "source_union": f"SELECT ord, CASE {LABEL} WHEN 'wikipedia' THEN 0 WHEN 'pdf' THEN 1 WHEN 'markdown' THEN 2 ELSE 3 END AS source_rank, md5(text) AS digest FROM corpus",
+    "first_checksums": "SELECT filename, arg_min(lower(md5), n) AS md5 FROM (SELECT md5, filename, row_number() OVER () AS n FROM checksums) WHERE md5 IS NOT NULL AND filename IS NOT NULL GROUP BY filename",
+    "jsonl_scan": "SELECT md5(text) AS digest, source, count(*) AS n FROM corpus GROUP BY ALL",
+    "text_scan": "SELECT md5(text) AS digest, count(*) AS n FROM corpus GROUP BY ALL",
+    "lang_codes": "SELECT lang, count(*) AS n, lang || 'wiki-latest-pages-articles.xml.bz2' AS filename FROM corpus WHERE regexp_full_match(lang, '[a-z]{2,5}') GROUP BY lang",
+    "corpus_holdout": f"SELECT ord FROM corpus WHERE {choice('1000000', q('42'), 'ord::VARCHAR', q('split'))} < 2000",
+    "qa_progress": f"WITH RECURSIVE {PARSED} SELECT d.source, d.n_docs, coalesce(p.n_pairs, 0) AS n_pairs FROM (SELECT coalesce(source, '') AS source, count(*) AS n_docs FROM qa_raw GROUP BY 1) d LEFT JOIN (SELECT source, count(*) AS n_pairs FROM parsed GROUP BY source) p USING (source)",
+    "packed_tokens": f"WITH RECURSIVE {RANK_STREAM} SELECT chunk::BIGINT AS chunk, md5(array_to_string(ids, ',')) AS digest FROM kept",
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +12,8 @@ from grainmill.functions import text as T
 from grainmill.operators import dedup, filters, pack, qa, sft, split
 from grainmill.plans import pipeline
 from grainmill.plans.oracle import SQL
-from grainmill.runtime import table
-from grainmill.sources import readers
+from grainmill.runtime import ensure_checkpoint_dir, table
+from grainmill.sources import readers, sinks
 
 SEQ_LEN = 2048
 
@@ -82,7 +83,7 @@ def lsh_buckets(spark: SparkSession, d: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, d: str) -> DataFrame:
-    """The status of each document under the greedy rule; tested against a sequential loop."""
+    """The status of each document under the greedy rule."""
     return dedup.near_dedup(_corpus(spark, d))
 
 
@@ -131,7 +132,7 @@ def strip_tags(spark: SparkSession, d: str) -> DataFrame:
 
 
 def markdown_to_text(spark: SparkSession, d: str) -> DataFrame:
-    """T4, whole; look-ahead is beyond the SQL at hand, so rules are tested one by one."""
+    """T4, whole."""
     return table(spark, d, "documents").select("doc_id", T.markdown_to_text("text").alias("text"))
 
 
@@ -194,7 +195,7 @@ def qa_prompts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def qa_parse(spark: SparkSession, d: str) -> DataFrame:
-    """Q4, F9; back-references are beyond the SQL at hand, so it is tested against Python's."""
+    """Q4, F9."""
     return qa.parse(table(spark, d, "qa_raw"), keep=("raw_id",))
 
 
@@ -267,10 +268,81 @@ def clean_corpus(spark: SparkSession, d: str) -> DataFrame:
     return pipeline.clean_corpus(table(spark, d, "corpus")).select("ord", F.md5("text").alias("digest"))
 
 
+def wiki_records(spark: SparkSession, d: str) -> DataFrame:
+    """Wiki documents in any spelling of their label, stored stripped, with constant source and language."""
+    rows = filters.of_source(_corpus(spark, d, "ord", "id", "title", "url", "text", "source"), "wikipedia")
+    rows = filters.min_length(rows, 200, store_stripped=True)
+    return rows.select("ord", "id", "title", "url", F.md5("text").alias("digest"), F.lit("wikipedia").alias("source"), F.lit("de").alias("lang"))
+
+
+def markdown_files(spark: SparkSession, d: str) -> DataFrame:
+    """Markdown documents in any spelling of their label, as plain text of 200 characters."""
+    rows = filters.of_source(_corpus(spark, d, "ord", "text", "file", "source"), "markdown").filter("file is not null")
+    rows = rows.select("ord", F.col("file").alias("id"), T.stem_to_title(T.file_stem("file")).alias("title"), T.markdown_to_text("text").alias("text"))
+    return rows.filter(F.length("text") >= 200).select("ord", "id", "title", F.md5("text").alias("digest"))
+
+
+def source_union(spark: SparkSession, d: str) -> DataFrame:
+    """Every row of the corpus once, by the rank of its source in any spelling; unknown sources are rank 3."""
+    c = _corpus(spark, d, "ord", "text", "source")
+    return split.union_sources([filters.of_source(c, s).select("ord", "text") for s in (*filters.SOURCES, None)]).select("ord", "source_rank", F.md5("text").alias("digest"))
+
+
+def first_checksums(spark: SparkSession, d: str) -> DataFrame:
+    """The first line of each file in the checksum list."""
+    rows = table(spark, d, "checksums").select("md5", "filename", F.monotonically_increasing_id().alias("place"))
+    return readers.checksum_of(rows, "place")
+
+
+def jsonl_scan(spark: SparkSession, d: str) -> DataFrame:
+    """The corpus written as JSON lines and read again, by digest of its text."""
+    return readers.read_jsonl(spark, _written(spark, _corpus(spark, d, *CORPUS_COLUMNS))).groupBy(F.md5("text").alias("digest"), "source").agg(F.count("*").alias("n"))
+
+
+def text_scan(spark: SparkSession, d: str) -> DataFrame:
+    """S3: the text column of JSON lines, by digest."""
+    return readers.read_texts(spark, _written(spark, _corpus(spark, d, *CORPUS_COLUMNS), keep_nulls=True)).groupBy(F.md5("text").alias("digest")).agg(F.count("*").alias("n"))
+
+
+CORPUS_COLUMNS = ("id", "title", "url", "text", "source", "lang", "file")
+
+
+def _written(spark: SparkSession, df: DataFrame, keep_nulls: bool = False) -> str:
+    """JSON lines in a folder of their own below the shared one."""
+    path = f"{ensure_checkpoint_dir(spark)}/jsonl-{uuid.uuid4()}"
+    sinks.write_jsonl(df, path, keep_nulls)
+    return path
+
+
+def lang_codes(spark: SparkSession, d: str) -> DataFrame:
+    """The labels that are codes, and the dump that each names."""
+    rows = table(spark, d, "corpus").filter(F.col("lang").rlike(r"^[a-z]{2,5}\z")).groupBy("lang").agg(F.count("*").alias("n"))
+    wiki = F.concat("lang", F.lit("wiki"))
+    return rows.select("lang", "n", F.concat(wiki, F.lit("-latest-pages-articles.xml.bz2")).alias("filename"))
+
+
+def corpus_holdout(spark: SparkSession, d: str) -> DataFrame:
+    """V1: two thousandths of the corpus apart."""
+    return split.holdout(_corpus(spark, d, "ord"), 0.002, "ord").filter("split = 'validation'").select("ord")
+
+
+def qa_progress(spark: SparkSession, d: str) -> DataFrame:
+    """Q5: model answers and the rows made of them, by source."""
+    raw = table(spark, d, "qa_raw")
+    return qa.progress(raw, qa.parse(raw))
+
+
+def packed_tokens(spark: SparkSession, d: str) -> DataFrame:
+    """K1 to K7 with a public tokenizer: the chunks, with a digest of their ids."""
+    rows = pipeline.packed_by_ranks(_corpus(spark, d), SEQ_LEN)
+    return rows.select("chunk", F.md5(F.array_join("input_ids", ",")).alias("digest"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
         corpus_min_length, wiki_min_length, pdf_min_length, qa_min_chars, not_blank, normalize_sha256, exact_dedup, dedup_status_counts, word_shingles, minhash_signature, lsh_buckets, near_dedup, stage_counters, first_paragraph, truncate_at_sentence, whitespace_words, excerpts, stem_titles, markdown_records, strip_tags, markdown_to_text, join_pages, pdf_clean, page_number_lines,
         title_qa, summary_examples, continue_examples, sft_examples, sft_kinds, max_docs_limit, max_docs_after_filter, qa_prompts, qa_parse, token_offsets, pack_sequences, pack_attention_mask, union_sources, union_alpaca, holdout_split, path_components, checksum_lookup, text_md5, corpus_json, clean_corpus,
+        wiki_records, markdown_files, source_union, first_checksums, jsonl_scan, text_scan, lang_codes, corpus_holdout, qa_progress, packed_tokens,
     ]
     return {f.__name__: f for f in own}
 
