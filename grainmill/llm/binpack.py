@@ -105,3 +105,15 @@ def containers(assignment: DataFrame) -> DataFrame:
     """``plan, capacity, n_bins, n_parts, used, unused``: the space left by each plan and capacity."""
     bins = assignment.filter("bin is not null").groupBy("plan", "bin", "capacity").agg(F.sum("length").alias("used"), F.count("*").alias("n"))
     return bins.groupBy("plan", "capacity").agg(F.count("*").alias("n_bins"), F.sum("n").alias("n_parts"), F.sum("used").alias("used"), F.sum(F.col("capacity") - F.col("used")).alias("unused"))
+
+
+def kept_rules(assignment: DataFrame) -> DataFrame:
+    """``plan, n_parts, total, n_overfull, n_torn``: what a packing must keep, for comparison with the lengths that went in.
+
+    Only a part behind whole containers of the largest size, or before such a part, belongs to a divided item.
+    """
+    largest = assignment.groupBy("plan").agg(F.max("capacity").alias("top"), F.sum("length").alias("total"), F.count("*").alias("n_parts"))
+    torn = assignment.filter("part > 0").join(F.broadcast(largest.select("plan", "top")), "plan").filter("start % top != 0 or start = 0").groupBy("plan").agg(F.count("*").alias("n_torn"))  # a row per plan
+    full = assignment.filter("bin is not null").groupBy("plan", "bin").agg(F.sum("length").alias("used"), F.max("capacity").alias("capacity")).filter("used > capacity").groupBy("plan").agg(F.count("*").alias("n_overfull"))
+    out = largest.join(full, "plan", "left").join(torn, "plan", "left")
+    return out.select("plan", "n_parts", "total", F.coalesce("n_overfull", F.lit(0)).cast("bigint").alias("n_overfull"), F.coalesce("n_torn", F.lit(0)).cast("bigint").alias("n_torn"))

@@ -12,6 +12,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from grainmill.runtime import join_salted, materialize
+
 #: Letters of three scripts that share one shape; the scripts are Latin, Cyrillic and Greek.
 CLASSES = ["aа", "cс", "dԁ", "eе", "hһ", "iі", "jјϳ", "lӏ", "oоο", "pр", "qԛ", "sѕ", "vѵν", "wԝ", "xх", "yу", "gɡ", "AАΑ", "BВΒ", "CС", "EЕΕ", "GԌ", "HНΗ", "IІӀΙ", "JЈ", "KКΚ", "MМΜ", "NΝ", "OОΟ", "PРΡ", "SЅ", "TТΤ", "XХΧ", "YΥ", "ZΖ", "ÄӒ", "ËЁ", "ÖӦ", "äӓ", "ëё", "ïї", "öӧ"]
 #: Characters without a look (Unicode's Default_Ignorable_Code_Point without the joiners), flags made of
@@ -200,12 +202,10 @@ def look_alike_pairs(df: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     Forms with a single text (any number of equal rows) are dropped by a pre-aggregated minimum and maximum before any
     join; the pairs are made between different texts and only then between their rows, so a group of equal rows costs
-    nothing beyond its output. Null and blank texts are no case; rows with null keys make no pair.
+    nothing beyond its output. ``form_classes`` says the same in one row per text. Null and blank texts are no case; rows with null keys make no pair.
     """
     df = df.filter(~F.col(text).rlike(r"(?U)\A[\s\x1c-\x1f]*\z")).filter(F.col(key).isNotNull())
     rows = normal_forms(df, key, text, with_text=False).select(F.col(key).alias("_k"), "form_key", "text_key")
-    from grainmill.runtime import materialize
-
     rows = materialize(rows)  # a few bytes per text; read three times
     mixed = rows.groupBy("form_key").agg(F.min("text_key").alias("lo"), F.max("text_key").alias("hi")).filter("lo < hi").select("form_key")
     rows = rows.join(mixed, "form_key", "left_semi")
@@ -213,9 +213,9 @@ def look_alike_pairs(df: DataFrame, key: str = "doc_id", text: str = "text") ->
     a = texts.select("form_key", F.col("text_key").alias("text_a"))
     b = texts.select("form_key", F.col("text_key").alias("text_b"))
     pairs = a.join(b, "form_key").filter("text_a < text_b").select("text_a", "text_b")
-    left = rows.select(F.col("text_key").alias("text_a"), F.col("_k").alias("ka"))
-    right = rows.select(F.col("text_key").alias("text_b"), F.col("_k").alias("kb"))
-    out = pairs.join(left, "text_a").join(right, "text_b")
+    # rows of one text are dealt to several tasks, to which what they meet is copied
+    out = join_salted(rows.select(F.col("text_key").alias("text_a"), F.col("_k").alias("ka")), pairs, "text_a", "ka")
+    out = join_salted(out, rows.select(F.col("text_key").alias("text_b"), F.col("_k").alias("kb")), "text_b", "ka")
     return out.select(F.least("ka", "kb").alias("doc_a"), F.greatest("ka", "kb").alias("doc_b"))
 
 
@@ -224,4 +224,4 @@ def form_classes(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     rows = normal_forms(df.filter(F.col(text).isNotNull()), key, text, with_text=False)
     texts = rows.groupBy("form_key", "text_key").agg(F.min(key).alias("first"), F.count("*").alias("n"))
     classes = texts.groupBy("form_key").agg(F.min("first").alias("class_id"), F.sum("n").alias("n_rows"), F.count("*").alias("n_texts"))
-    return rows.join(classes, "form_key").select(key, "class_id", "n_rows", "n_texts")
+    return join_salted(rows, classes, "form_key", key).select(key, "class_id", "n_rows", "n_texts")

@@ -62,3 +62,13 @@ def shares(mixed: DataFrame, targets: DataFrame) -> DataFrame:
     t = targets.select("plan_id", clean_label("source").alias("source"), "target_share").groupBy("plan_id", "source").agg(F.sum("target_share").alias("target_share"))
     out = t.join(got, ["plan_id", "source"], "left").fillna(0, ["n_records", "n_tokens", "most_repeats"])
     return out.withColumn("actual_share", F.coalesce(F.try_divide(F.col("n_tokens"), F.sum("n_tokens").over(W.partitionBy("plan_id"))), F.lit(0.0))).select("plan_id", "source", "target_share", "n_records", "n_tokens", "actual_share", "most_repeats")
+
+
+def kept_rules(mixed: DataFrame, targets: DataFrame, source: str = "source") -> DataFrame:
+    """``plan_id, source, due_share, on_target, within_cap`` of the sources that served anything: the share due among them, whether
+    the tokens served are at most one document of each source off it, and whether no document came too often."""
+    got = mixed.groupBy("plan_id", "source").agg(F.sum("n_tokens").alias("n"), F.max("n_tokens").alias("longest"), F.max("copy").alias("copy"))
+    t = targets.filter("target_share > 0 and max_repeats > 0").groupBy("plan_id", clean_label(source).alias("source")).agg(F.sum("target_share").alias("w"), F.max("max_repeats").alias("cap"))
+    plan = W.partitionBy("plan_id")  # a row per source
+    rows = got.join(t, ["plan_id", "source"]).withColumns({"due": F.col("w") / F.sum("w").over(plan), "all": F.sum("n").over(plan), "slack": F.sum("longest").over(plan)})
+    return rows.select("plan_id", "source", F.round("due", 6).alias("due_share"), (F.abs(F.col("n") - F.col("due") * F.col("all")) <= F.col("slack")).alias("on_target"), (F.col("copy") < F.col("cap")).alias("within_cap"))

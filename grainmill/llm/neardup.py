@@ -13,19 +13,20 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from grainmill.runtime import materialize
+from grainmill.llm.keys import key_filter
+from grainmill.runtime import SALT, join_salted, materialize
 
 #: Coordinates of a point: shingles are hashed into so many groups, whose sizes are the coordinates.
 GROUPS = 64
 #: Points of an R-tree's leaf, and leaves of an inner node.
 FANOUT = 16
-#: Rows of one block; larger blocks are cut into chunks and every pair of chunks becomes a block.
+#: Rows of one block; larger groups are cut into chunks of about so many, and pairs of chunks become blocks.
 BLOCK = 256
+#: A shingle of more than this share of the texts is hot: its group is never numbered or held by one task.
+HOT_SHARE = 0.001
 
 #: What the sketch holds for a bucket with one shingle.
 ONCE = 12
-#: Bits of the filter of keys whose texts are read again; it lets some others pass, which a join then leaves out.
-FILTER_BITS = 23
 
 
 def words_of(text: str) -> list[str]:
@@ -144,7 +145,7 @@ def _sketch(df: DataFrame, k: int, bits: int) -> np.ndarray:
             if sets:
                 np.add.at(total, (np.concatenate(sets) & np.uint64(size - 1)).astype(np.int64), 1)
         if total.any():
-            small = np.minimum(total, 255).astype(np.uint8).reshape(parts, -1)
+            small = np.minimum(total, 65535).astype(np.uint16).reshape(parts, -1)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(parts, dtype=np.int32)), pa.array([zlib.compress(x.tobytes(), 1) for x in small], pa.binary())], names=["piece", "counts"])
 
     def add(batches):
@@ -152,7 +153,7 @@ def _sketch(df: DataFrame, k: int, bits: int) -> np.ndarray:
         for batch in batches:
             for piece, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 own = total.setdefault(piece, np.zeros(size // parts, dtype=np.int64))
-                own += np.frombuffer(zlib.decompress(x), dtype=np.uint8)
+                own += np.frombuffer(zlib.decompress(x), dtype=np.uint16)
         if total:
             scaled = {p: np.minimum(np.round(np.log2(t + 1) * ONCE), 255).astype(np.uint8).tobytes() for p, t in total.items()}
             yield pa.RecordBatch.from_arrays([pa.array(list(scaled), pa.int32()), pa.array(list(scaled.values()), pa.binary())], names=["piece", "counts"])
@@ -203,30 +204,6 @@ def _runs(batches, n_keys: int):
         yield held[:n_keys], held[n_keys:], np.array([0, len(held[0])])
 
 
-def _key_filter(hashes: DataFrame) -> np.ndarray:
-    """Which buckets hold one of the hashes; a fixed size at any number of them."""
-
-    def mark(batches):
-        bits = np.zeros(1 << FILTER_BITS, dtype=bool)
-        for batch in batches:
-            bits[(np.asarray(batch.column(0)).view(np.uint64) & np.uint64(len(bits) - 1)).astype(np.int64)] = True
-        if bits.any():
-            yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(np.packbits(bits).tobytes(), 1)], pa.binary())], names=["bits"])
-
-    def merge(batches):
-        total = np.zeros(1 << (FILTER_BITS - 3), dtype=np.uint8)
-        for batch in batches:
-            for x in batch.column(0).to_pylist():
-                total |= np.frombuffer(zlib.decompress(x), dtype=np.uint8)
-        yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())], names=["bits"])
-
-    rows = hashes.mapInArrow(mark, "bits binary").coalesce(8).mapInArrow(merge, "bits binary").collect()  # 8 rows at most
-    out = np.zeros(1 << (FILTER_BITS - 3), dtype=np.uint8)
-    for r in rows:
-        out |= np.frombuffer(zlib.decompress(r["bits"]), dtype=np.uint8)
-    return np.unpackbits(out).astype(bool)
-
-
 class NearDuplicates:
     """``members`` (key, sig, size, vector) of all texts; ``pairs`` (sig_a, sig_b, similarity) between classes of equal
     shingle sets.
@@ -239,7 +216,8 @@ class NearDuplicates:
         self.key, self.text, self.threshold, self.k = key, text, threshold, k
         self.spark = df.sparkSession
         self.texts = df.select(F.col(key).alias("_k"), F.col(text).cast("string").alias("_t")).filter(F.col("_k").isNotNull() & ~F.col("_t").rlike(r"(?U)\A[\s\x1c-\x1f]*\z"))
-        self.signed = materialize(self._signatures(df.count()))
+        self.n_texts = df.count()
+        self.signed = materialize(self._signatures(self.n_texts))
         self.members = self.signed.select("_k", "sig", "size", "vector")
         self.pairs = materialize(self._pairs())
 
@@ -248,11 +226,12 @@ class NearDuplicates:
 
         Under one order of all shingles (rare ones by the sketch first), two sets of similarity t share a shingle that is
         among the first n - ceil(t n) + 1 of the larger and the first n - ceil(2t/(1+t) n) + 1 of the smaller. The prefix
-        holds 5-byte hashes; the first number is the length of the shorter part. A task writes the prefix of equal sets
+        holds 5-byte hashes in rising order of frequency; two numbers before them are the length of the shorter part and the
+        number of those that are not hot. A task writes the prefix of equal sets
         once; unequal shingles that share a hash are sorted out when pairs are verified.
         """
         sketch = self.spark.sparkContext.broadcast(_sketch(self.texts.select("_t"), self.k, sketch_bits(n_texts)))
-        k, t = self.k, self.threshold
+        k, t, hot = self.k, self.threshold, np.log2(max(BLOCK, HOT_SHARE * n_texts) + 1) * ONCE
         schema = self.texts.select("_k").schema.add("sig", "long").add("size", "integer").add("vector", "binary").add("prefix", "binary")
 
         def sign(batches):
@@ -280,7 +259,8 @@ class NearDuplicates:
                     order = np.lexsort((s, f))[:longer]
                     shared = f[order] > ONCE  # a bucket of one shingle holds nothing that two texts share
                     p = s[order[shared]]
-                    prefixes.append(np.uint32(shared[:shorter].sum()).tobytes() + p.view(np.uint8).reshape(-1, 8)[:, 3:].tobytes())
+                    cold = (f[order[shared]] < hot - 1).sum()
+                    prefixes.append(np.array([shared[:shorter].sum(), cold], dtype=np.uint32).tobytes() + p.view(np.uint8).reshape(-1, 8)[:, 3:].tobytes())
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(sigs, dtype=np.uint64).view(np.int64)), pa.array(np.array(sizes, dtype=np.int32)), pa.array(vectors, pa.binary()), pa.array(prefixes, pa.binary())], names=schema.names)
 
         return self.texts.select("_k", "_t").mapInArrow(sign, schema)
@@ -288,36 +268,42 @@ class NearDuplicates:
     def _blocks(self) -> DataFrame:
         """``block, sig, side``: groups of classes that share a prefix shingle; side 2 meets everyone.
 
-        Groups above ``BLOCK`` rows are numbered and cut into chunks; each pair of chunks is a block of its own, so no
-        task holds an unbounded group. Groups with the same classes are kept once.
+        Groups above ``BLOCK`` rows are dealt to chunks by a hash, apart for each level of set sizes; levels are so wide that
+        similar sets are of one level or of neighbouring ones. Each pair of chunks that can hold a pair is a block of its
+        own, so no task holds or numbers an unbounded group. Groups with the same classes are kept once.
         """
 
-        def spread(batches):
-            for batch in batches:
-                sigs, prefixes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-                hs, n, first = [np.empty(0, np.int64)], [], [np.empty(0, np.int64)]
-                for p in prefixes:
-                    raw = np.frombuffer(p, dtype=np.uint8, offset=4).reshape(-1, 5)
-                    wide = np.zeros((len(raw), 8), dtype=np.uint8)
-                    wide[:, :5] = raw
-                    hs.append(wide.view(np.int64).ravel())
-                    n.append(len(raw))
-                    first.append((np.arange(len(raw)) < int(np.frombuffer(p, dtype=np.uint32, count=1)[0])).astype(np.int64))
-                # the lowest bit: whether the set may be the smaller one of a pair by this shingle
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs)), pa.array(np.repeat(np.array(sigs, dtype=np.int64), n) | np.concatenate(first))], names=["h", "s"])
-
-        by = W.partitionBy("h")
-        rows = self.signed.filter("prefix is not null").select("sig", "prefix").mapInArrow(spread, "h bigint, s bigint").repartition("h").dropDuplicates(["h", "s"])
-        groups = rows.groupBy("h").agg(F.count("*").alias("n"), F.max(F.col("s").bitwiseAND(F.lit(1))).alias("smaller")).filter("n > 1 and smaller = 1")
-        rows = rows.join(groups.select("h", "n"), "h")
-        rows = rows.withColumn("c", ((F.row_number().over(by.orderBy("s")) - 1) / BLOCK).cast("int"))
-        rows = rows.withColumn("d", F.explode(F.sequence(F.lit(0), ((F.col("n") - 1) / BLOCK).cast("int"))))
-        lo, hi = F.least("c", "d"), F.greatest("c", "d")
-        side = F.when(lo == hi, 2).when(F.col("c") == lo, 0).otherwise(1)
-        rows = rows.select("h", lo.alias("lo"), hi.alias("hi"), F.col("s").bitwiseAND(F.lit(~1)).alias("sig"), side.alias("side")).sortWithinPartitions("h", "lo", "hi", "sig")
+        def spread(hot: bool):
+            def run(batches):
+                for batch in batches:
+                    sigs, prefixes, levels = (batch.column(i).to_pylist() for i in range(3))
+                    hs, n, first = [np.empty(0, np.int64)], [], [np.empty(0, np.int64)]
+                    for p in prefixes:
+                        shorter, cold = np.frombuffer(p, dtype=np.uint32, count=2).tolist()
+                        raw = np.frombuffer(p, dtype=np.uint8, offset=8).reshape(-1, 5)
+                        own = slice(cold, len(raw)) if hot else slice(0, cold)
+                        wide = np.zeros((len(raw), 8), dtype=np.uint8)
+                        wide[:, :5] = raw
+                        hs.append(wide.view(np.int64).ravel()[own])
+                        n.append(len(hs[-1]))
+                        first.append((np.arange(len(raw)) < shorter).astype(np.int64)[own])
+                    # the lowest bit: whether the set may be the smaller one of a pair by this shingle
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs)), pa.array(np.repeat(np.array(sigs, dtype=np.int64), n) | np.concatenate(first)), pa.array(np.repeat(np.array(levels, dtype=np.int32), n))], names=["h", "s", "level"])
+
+            return run
+
+        # wider than the ratio of sizes that the threshold allows, so that rounding never parts two levels
+        level = F.floor(F.log("size") / float(-np.log(self.threshold) * 1.0001)).cast("int")
+        classes = self.signed.filter("prefix is not null").select("sig", "prefix", level.alias("level"))
+
+        def members(hot: bool) -> DataFrame:
+            return classes.mapInArrow(spread(hot), "h bigint, s bigint, level int")
+
+        keys = ["h", "lo_level", "lo", "hi_level", "hi"]
+        rows = self._cold(members(False)).unionByName(self._hot(members(True))).repartition(*keys).sortWithinPartitions(*keys, "sig")
 
         def gather(batches):
-            for keys, (sig, side), at in _runs(batches, 3):
+            for _, (sig, side), at in _runs(batches, 5):
                 ids, members = [], []
                 for i, j in zip(at[:-1].tolist(), at[1:].tolist()):
                     own = sig[i:j].tobytes() + side[i:j].astype(np.uint8).tobytes()
@@ -335,6 +321,39 @@ class NearDuplicates:
 
         return rows.mapInArrow(gather, "block bigint, members binary").dropDuplicates(["block"]).mapInArrow(scatter, "block bigint, sig bigint, side int")
 
+    @staticmethod
+    def _shared_groups(rows: DataFrame) -> DataFrame:
+        """``h, n`` of the groups that can hold a pair."""
+        return rows.groupBy("h").agg(F.count("*").alias("n"), F.max(F.col("s").bitwiseAND(F.lit(1))).alias("smaller")).filter("n > 1 and smaller = 1").select("h", "n")
+
+    def _cold(self, rows: DataFrame) -> DataFrame:
+        """Groups of a bounded share of the texts: all of one shuffle; those above a block are numbered and cut."""
+        rows = rows.repartition("h").dropDuplicates(["h", "s"])
+        rows = rows.join(self._shared_groups(rows), "h")
+        rows = rows.withColumn("c", ((F.row_number().over(W.partitionBy("h").orderBy("s")) - 1) / BLOCK).cast("int"))
+        rows = rows.withColumn("d", F.explode(F.sequence(F.lit(0), ((F.col("n") - 1) / BLOCK).cast("int"))))
+        lo, hi = F.least("c", "d"), F.greatest("c", "d")
+        side = F.when(lo == hi, 2).when(F.col("c") == lo, 0).otherwise(1)
+        none = F.lit(-1)
+        return rows.select("h", none.alias("lo_level"), lo.alias("lo"), none.alias("hi_level"), hi.alias("hi"), F.col("s").bitwiseAND(F.lit(~1)).alias("sig"), side.alias("side"))
+
+    def _hot(self, rows: DataFrame) -> DataFrame:
+        """Groups of any size: rows are spread by their own hash, counted with partial sums, and met by the counts of the chunks
+        of their group, copied to several tasks."""
+        rows = materialize(rows.dropDuplicates(["h", "s"]))
+        rows = join_salted(rows, self._shared_groups(rows).select("h"), "h", "s")
+        # per group, how many chunks each level of sizes has; a handful of levels
+        chunks = rows.groupBy("h", "level").agg(F.count("*").alias("n")).select("h", "level", F.ceil(F.col("n") / BLOCK).cast("int").alias("c"))
+        levels = chunks.groupBy("h").agg(F.map_from_entries(F.collect_list(F.struct("level", "c"))).alias("levels"))
+        rows = join_salted(rows, levels, "h", "s")
+        own = F.pmod(F.xxhash64("s"), F.element_at("levels", F.col("level"))).cast("int")
+        near = F.filter(F.map_entries("levels"), lambda e: F.abs(e["key"] - F.col("level")) <= 1)
+        met = F.flatten(F.transform(near, lambda e: F.transform(F.sequence(F.lit(0), e["value"] - 1), lambda c: F.struct(e["key"].alias("level"), c.alias("c")))))
+        rows = rows.withColumn("me", F.struct(F.col("level").alias("level"), own.alias("c"))).withColumn("other", F.explode(met))
+        lo, hi = F.least("me", "other"), F.greatest("me", "other")
+        side = F.when(F.col("me") == F.col("other"), 2).when(F.col("me") == lo, 0).otherwise(1)
+        return rows.select("h", lo["level"].alias("lo_level"), lo["c"].alias("lo"), hi["level"].alias("hi_level"), hi["c"].alias("hi"), F.col("s").bitwiseAND(F.lit(~1)).alias("sig"), side.alias("side"))
+
     def _pairs(self) -> DataFrame:
         threshold, k = self.threshold, self.k
         classes = self.signed.filter("prefix is not null").select("sig", "size", "vector")
@@ -354,13 +373,12 @@ class NearDuplicates:
         pairs = materialize(points.mapInArrow(candidates, "sig_a bigint, sig_b bigint").distinct())
         sigs = pairs.select(F.col("sig_a").alias("sig")).union(pairs.select("sig_b")).distinct()
         rep = materialize(self.members.join(sigs, "sig", "left_semi").groupBy("sig").agg(F.min("_k").alias("_k")))
-        wanted = self.spark.sparkContext.broadcast(_key_filter(rep.select(F.xxhash64("_k"))))
+        wanted = self.spark.sparkContext.broadcast(key_filter(rep.select(F.xxhash64("_k"))))
 
         def hashes(batches):
-            sh, bits = Shingler(k), wanted.value
+            sh, keep = Shingler(k), wanted.value
             for batch in batches:
-                at = np.asarray(batch.column(2)).view(np.uint64) & np.uint64(len(bits) - 1)
-                own = batch.filter(pa.array(bits[at.astype(np.int64)]))
+                own = batch.filter(pa.array(keep(np.asarray(batch.column(2)))))  # lets some others pass, which a join leaves out
                 sets = [s.view(np.uint8).reshape(-1, 8)[:, 3:].tobytes() for s in sh.sets(own.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays([own.column(0), pa.array(sets, pa.binary())], names=["_k", "hashes"])
 
@@ -385,7 +403,9 @@ class NearDuplicates:
         rows = self.members.select(F.col("sig"), F.col("_k"))
         a, b = rows.select("sig", F.col("_k").alias("ka")), rows.select("sig", F.col("_k").alias("kb"))
         many = rows.groupBy("sig").agg(F.count("*").alias("n")).filter("n > 1").select("sig")
-        equal = a.join(many, "sig", "left_semi").join(b, "sig").filter("ka < kb").select("ka", "kb")
+        copies = F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))
+        own = a.join(many, "sig", "left_semi").withColumn("salt", F.pmod(F.xxhash64(F.col("ka").cast("string")), F.lit(SALT)).cast("int"))
+        equal = own.join(b.join(many, "sig", "left_semi").withColumn("salt", copies), ["sig", "salt"]).filter("ka < kb").select("ka", "kb")
         near = self.pairs.join(a.withColumnRenamed("sig", "sig_a"), "sig_a").join(b.withColumnRenamed("sig", "sig_b"), "sig_b").select("ka", "kb")
         return equal.unionByName(near).select(F.least("ka", "kb").alias("ord_a"), F.greatest("ka", "kb").alias("ord_b"))
 
@@ -402,6 +422,10 @@ class NearDuplicates:
         return self.members.select("sig", "_k").join(out, "sig").select(F.col("_k").alias(self.key), "group_id", "n_links")
 
 
+#: Rounds after which the search for components gives up with an error; the number needed grows with the logarithm.
+ROUNDS = 60
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``u, label``: the least node of each node's component, by alternating large-star and small-star steps.
 
@@ -410,7 +434,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     e = materialize(edges.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     seen = None
-    for _ in range(60):
+    for _ in range(ROUNDS):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -422,5 +446,7 @@ def components(edges: DataFrame) -> DataFrame:
         if now == seen:
             break
         seen = now
+    else:
+        raise RuntimeError(f"components have not settled after {ROUNDS} rounds")
     roots = e.select(F.col("v").alias("u")).distinct().withColumn("label", F.col("u"))
     return e.select("u", F.col("v").alias("label")).unionByName(roots)

@@ -147,6 +147,20 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return shares(*_mixture(spark, d))
 
 
+def p5_kept(spark: SparkSession, d: str) -> DataFrame:
+    """What each packing keeps: parts, total length, containers above their capacity, and items cut though they fit."""
+    from grainmill.llm.binpack import kept_rules
+
+    return kept_rules(p5_assignment(spark, d))
+
+
+def p8_kept(spark: SparkSession, d: str) -> DataFrame:
+    """Whether each source of a plan reaches its share of the tokens, up to one document, without too many repeats."""
+    from grainmill.llm.mixing import kept_rules
+
+    return kept_rules(*_mixture(spark, d))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of documents that look alike and differ."""
     from grainmill.llm.lookalikes import look_alike_pairs
@@ -161,10 +175,19 @@ def p9_forms(spark: SparkSession, d: str) -> DataFrame:
     return normal_forms(table(spark, d, "documents")).select("doc_id", F.col("form").alias("text"))
 
 
+def p9_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Every document with text, the class of its form, and how many rows and different texts are in it."""
+    from grainmill.llm.lookalikes import form_classes
+
+    return form_classes(table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [p1_found, p1_labels, p2_found, p2_groups, p3_found, p3_paragraphs, p4_token_budget, p4_document_tokens, p5_assignment, p5_containers, p6_found, p6_languages, p7_ids, p8_mixture, p8_shares, p9_found, p9_forms]
+    own = [p1_found, p1_labels, p2_found, p2_groups, p3_found, p3_paragraphs, p4_token_budget, p4_document_tokens, p5_assignment, p5_containers, p5_kept, p6_found, p6_languages, p7_ids, p8_mixture, p8_shares, p8_kept, p9_found, p9_forms, p9_classes]
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from grainmill.llm.oracle import SQL
+
+    return dict(SQL)

@@ -136,3 +136,22 @@ def test_forms_of_all_ignorables_and_compatible_letters():
     england, wales = (flag + "".join(chr(0xE0000 + ord(c)) for c in x) + chr(0xE007F) for x in ("gbeng", "gbwls"))
     for a, b in [(chr(0x17F), "s"), (chr(0x3D1), chr(0x3B8)), (chr(0x1D400), "A"), (chr(0x2116), "No"), (chr(0x2474), "(1)"), (england, wales), (england, flag)]:
         assert f.text(a) != f.text(b), (a, b)
+
+
+def test_hot_shingles_are_spread_without_loss(spark, monkeypatch):
+    """A third of the texts share most of their words; their shingles are hot, and chunks of several sizes meet."""
+    monkeypatch.setattr(neardup, "BLOCK", 4)
+    base = [f"b{i}" for i in range(120)]
+    rows = [(o, " ".join([*base[: 90 + o], f"x{o}"])) for o in range(30)] + [(100 + o, f"w{o} " * 3 + " ".join(f"v{o * 50 + i}" for i in range(20))) for o in range(60)]
+    nd = run(spark, rows)
+    assert nd._hot(spark.createDataFrame([(1, 2 * i + 1, i % 3) for i in range(20)], "h bigint, s bigint, level int")).count() > 20
+    assert {(r["ord_a"], r["ord_b"]) for r in nd.row_pairs().collect()} == brute(rows)
+
+
+def test_components_that_do_not_settle_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "ROUNDS", 1)
+    try:
+        components(spark.createDataFrame([(i, i + 1) for i in range(40)], "u bigint, v bigint"))
+        raise AssertionError
+    except RuntimeError as e:
+        assert "settled" in str(e)
