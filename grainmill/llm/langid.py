@@ -7,6 +7,7 @@ its positions, a document's over its lines. It is trained here, in numpy, by bac
 from __future__ import annotations
 
 import unicodedata
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
@@ -16,13 +17,18 @@ from pyspark.sql import functions as F
 
 from grainmill.llm.labels import clean_lang
 
+#: The languages that a network has if none are given; ``train`` takes them from the samples.
 LANGS = ("de", "en", "es", "fr", "nl")
+#: Samples from which on a language of the samples is told.
+LEAST_SAMPLES = 5
 HIDDEN = 12
 #: Bytes of a window: longer lines are cut, at a blank if there is one, and all windows are read.
 WINDOW = 96
 #: Labelled rows of the corpus used for training besides the language samples: the first so many per language in the
-#: order of a hash of their key. The bound of the training sample; everything else reads all rows.
+#: order of a hash of their key, each cut to so many characters. The bound of the training sample; everything else reads all
+#: rows, whole.
 SAMPLE_PER_LANG = 150
+SAMPLE_CHARS = 2000
 STEPS = 700
 BATCH = 96
 #: By how much the pooled score of another language must beat the document's language before a line is labelled with
@@ -47,17 +53,18 @@ def _gate(x):
 class Network:
     """Weights: ``E`` byte to gate inputs, ``U`` state to gates, per direction; ``V`` states to languages."""
 
-    def __init__(self, hidden: int = HIDDEN, seed: int = 7):
+    def __init__(self, hidden: int = HIDDEN, seed: int = 7, langs: tuple[str, ...] = LANGS):
         r = np.random.default_rng(seed)
         h = self.hidden = hidden
+        self.langs = langs
         self.w = {}
         for d in "fb":
             self.w["E" + d] = (r.standard_normal((256, 3 * h)) * 0.3).astype(np.float32)
             self.w["U" + d] = (r.standard_normal((h, 3 * h)) / np.sqrt(h)).astype(np.float32)
-            self.w["V" + d] = (r.standard_normal((h, len(LANGS))) * 0.1).astype(np.float32)
+            self.w["V" + d] = (r.standard_normal((h, len(langs))) * 0.1).astype(np.float32)
         for d in "fb":
             self.w["E" + d][:, :h] -= 1.0  # slow updates at first
-        self.w["b"] = np.zeros(len(LANGS), dtype=np.float32)
+        self.w["b"] = np.zeros(len(langs), dtype=np.float32)
 
     def _run(self, x: np.ndarray, live: np.ndarray, d: str):
         """States and gates over time for columns sorted by falling length; ``live[t]`` columns are read at step t."""
@@ -178,7 +185,7 @@ class Network:
     def pooled(self, windows: list[bytes], at_once: int = 2048) -> tuple[np.ndarray, np.ndarray]:
         """Sums over each window's positions of the log-probabilities and of the probabilities of the languages."""
         n = len(windows)
-        logs, probs = np.zeros((n, len(LANGS)), np.float32), np.zeros((n, len(LANGS)), np.float32)
+        logs, probs = np.zeros((n, len(self.langs)), np.float32), np.zeros((n, len(self.langs)), np.float32)
         order = np.argsort([-len(w) for w in windows], kind="stable")
         for a in range(0, n, at_once):
             own = order[a : a + at_once]
@@ -256,7 +263,7 @@ def _variants(text: str) -> list[str]:
 
 
 @lru_cache(maxsize=4)
-def _trained(rows: tuple[tuple[str, str, bool], ...], hidden: int, steps: int) -> Network:
+def _trained(rows: tuple[tuple[str, str, bool], ...], langs: tuple[str, ...], hidden: int, steps: int) -> Network:
     windows, labels, weight, trusted, row_of = [], [], [], [], []
     for at, (lang, text, clean) in enumerate(rows):
         for i, t in enumerate(_variants(text)):
@@ -265,49 +272,52 @@ def _trained(rows: tuple[tuple[str, str, bool], ...], hidden: int, steps: int) -
                 for size in (WINDOW, 40):
                     for w in windows_of(raw, size):
                         windows.append(w)
-                        labels.append(LANGS.index(lang))
+                        labels.append(langs.index(lang))
                         weight.append((1.0 if i == 0 else 0.3) * (1.0 if size == WINDOW else 0.5))
                         trusted.append(clean)
                         row_of.append(at)
     labels, trusted = np.array(labels), np.array(trusted)
     weight = np.array(weight)
-    for i in range(len(LANGS)):
+    for i in range(len(langs)):
         own = labels == i
         if own.any():
             weight[own] /= weight[own].sum()
     # the first network learns from the clean samples only; labelled rows that it disagrees with as a whole are left out
-    first = Network(hidden)
+    first = Network(hidden, langs=langs)
     first.train(windows, labels, np.where(trusted, weight, 0), steps // 3)
     logs, _ = first.pooled(windows)
-    by_row = np.zeros((len(rows), len(LANGS)))
+    by_row = np.zeros((len(rows), len(langs)))
     np.add.at(by_row, row_of, logs)
     doubted = (by_row.argmax(1)[row_of] != labels) & ~trusted
-    net = Network(hidden)
+    net = Network(hidden, langs=langs)
     net.train(windows, labels, np.where(doubted, 0, weight), steps)
     return net
 
 
-def train(samples: DataFrame, labelled: DataFrame | None = None, key: str = "ord", lang: str = "lang", text: str = "text", per_lang: int = SAMPLE_PER_LANG, hidden: int = HIDDEN, steps: int = STEPS) -> Network:
+def train(samples: DataFrame, labelled: DataFrame | None = None, key: str = "ord", lang: str = "lang", text: str = "text", per_lang: int = SAMPLE_PER_LANG, hidden: int = HIDDEN, steps: int = STEPS, chars: int = SAMPLE_CHARS, least_samples: int = LEAST_SAMPLES) -> Network:
     """A network from clean samples and, if given, a bounded sample of labelled rows.
 
-    The sample takes the first ``per_lang`` rows of each language in the order of a hash of the key, whose labels may be
-    wrong now and then; it is bounded by ``per_lang`` and the number of languages, and cut to 2,000 characters a row.
+    The languages are those with ``least_samples`` clean samples; one of labelled rows alone cannot be checked and is not
+    told. The sample takes the first ``per_lang`` rows of each language in the order of a hash of the key, whose labels may
+    be wrong now and then; it is bounded by ``per_lang``, the number of languages, and ``chars`` characters a row.
     """
     rows = [(r["lang"], r["text"], True) for r in samples.filter("lang is not null and text is not null").select("lang", "text").collect()]  # a fixed table
-    rows = [r for r in rows if r[0] in LANGS]
-    if labelled is not None and per_lang:
-        c = labelled.select(clean_lang(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(key).cast("string")).alias("h")).filter(F.col("lang").isin(*LANGS) & (F.length("text") > 40))
+    n_of = Counter(r[0] for r in rows)
+    langs = tuple(sorted(k for k, n in n_of.items() if n >= least_samples))
+    rows = [r for r in rows if r[0] in langs]
+    if labelled is not None and per_lang and langs:
+        c = labelled.select(clean_lang(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(key).cast("string")).alias("h")).filter(F.col("lang").isin(*langs) & (F.length("text") > 40))
         counts = {r["lang"]: r["count"] for r in c.groupBy("lang").count().collect()}  # one row per language
         # hashes are even, so four times the wanted share holds the first rows of every language; a bounded top-n in any case
         near = F.lit(False)
         for one, n in counts.items():
             limit = min(int(min(1.0, 4 * per_lang / n) * 2**64) - 2**63, 2**63 - 1)
             near = near | ((F.col("lang") == one) & (F.col("h") <= limit))
-        first = c.filter(near).groupBy("lang", "h").agg(F.min(F.substring("text", 1, 2000)).alias("text"))  # a repeated key is one row
-        first = first.orderBy("h", "lang").limit(16 * per_lang * len(LANGS)).collect()
-        for one in LANGS:
+        first = c.filter(near).groupBy("lang", "h").agg(F.min(F.substring("text", 1, chars)).alias("text"))  # a repeated key is one row
+        first = first.orderBy("h", "lang").limit(16 * per_lang * len(langs)).collect()
+        for one in langs:
             rows += [(r["lang"], r["text"], False) for r in first if r["lang"] == one][:per_lang]
-    return _trained(tuple(sorted(rows)), hidden, steps)
+    return _trained(tuple(sorted(rows)), langs, hidden, steps)
 
 
 def languages(df: DataFrame, net: Network, key: str = "ord", label: str = "lang", text: str = "text", margin: float = LINE_MARGIN, least_letters: int = LINE_LETTERS) -> DataFrame:
@@ -342,14 +352,14 @@ def languages(df: DataFrame, net: Network, key: str = "ord", label: str = "lang"
                     sizes.append(len(line))
                     letters.append(sum(map(str.isalpha, line)) if len(line) < 4 * least_letters else len(line))
         n, letters = len(lines), np.array(letters)
-        logs, probs = np.zeros((n, len(LANGS))), np.zeros((n, len(LANGS)))
+        logs, probs = np.zeros((n, len(net.langs))), np.zeros((n, len(net.langs)))
         if windows:
             lw, pw = net.pooled(windows)
             np.add.at(logs, owner, lw)
             np.add.at(probs, owner, pw)
         lines, sizes, at = np.array(lines, dtype=np.int64), np.array(sizes, dtype=np.int64), np.arange(n)
         best = logs.argmax(1)
-        doc, votes = np.zeros((len(texts), len(LANGS))), np.zeros((len(texts), len(LANGS)))
+        doc, votes = np.zeros((len(texts), len(net.langs))), np.zeros((len(texts), len(net.langs)))
         np.add.at(doc, lines, probs)
         np.add.at(votes, (lines, best), sizes * probs[at, best] / np.maximum(probs.sum(1), 1e-9))
         main = (votes + 1e-6 * doc).argmax(1)
@@ -361,7 +371,7 @@ def languages(df: DataFrame, net: Network, key: str = "ord", label: str = "lang"
         first = np.searchsorted(lines, lines, side="left")
         seg = at - first + 1
         conf = probs[at, best] / np.maximum(probs.sum(1), 1e-9)
-        names = np.array(LANGS, dtype=object)
+        names = np.array(net.langs, dtype=object)
         row = np.concatenate([np.arange(len(texts)), lines])
         order = np.argsort(row, kind="stable")
         lang = np.concatenate([np.where(no_line, None, names[main]), names[best]])

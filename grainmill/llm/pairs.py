@@ -433,7 +433,10 @@ def _unstopped(text: str) -> bool:
 
 
 def _encode(votes: list[int]) -> int:
-    return sum((v + 1) * 3**j for j, v in enumerate(votes))
+    n = 0
+    for v in reversed(votes):
+        n = 3 * n + v + 1
+    return n
 
 
 def _decode(code: int, n: int) -> list[int]:
@@ -465,20 +468,22 @@ class Voter:
         ac, ae = w.codes(raws) if answer_codes is None else answer_codes
         told_q, told_a = self._languages(qc, qe, qs), self._languages(ac, ae, contents)
         fa = w.flags[ac]
-        has = {f: _sums((fa & f > 0).astype(np.int32), ae) > 0 for f in (PERSON, NEGATION_WORD, PHRASE, DIGIT, QUOTE, BRACKET)}
-        n_words = _sums((fa & LETTER > 0).astype(np.int32), ae).astype(np.int64)
-        q_words = _sums((w.flags[qc] & LETTER > 0).astype(np.int32), qe).astype(np.int64)
-        starts, q_starts = _starts(ae), _starts(qe)
+        has = {f: (_sums((fa & f > 0).astype(np.int32), ae) > 0).tolist() for f in (PERSON, NEGATION_WORD, PHRASE, DIGIT, QUOTE, BRACKET)}
+        n_words = _sums((fa & LETTER > 0).astype(np.int32), ae).astype(np.int64).tolist()
+        q_words = _sums((w.flags[qc] & LETTER > 0).astype(np.int32), qe).astype(np.int64).tolist()
+        starts, q_starts, q_ends, a_ends = _starts(ae).tolist(), _starts(qe).tolist(), qe.tolist(), ae.tolist()
+        word, long = w.word, w.long
+        q_codes = qc.tolist()
         out = []
         for i, (q, a, b, s) in enumerate(zip(qs, raws, bare, contents)):
-            v = {"empty": self._empty(b, s, int(n_words[i]))}
+            v = {"empty": self._empty(b, s, n_words[i])}
             near = len(s) <= 2 * len(q) + 60 or s.endswith("?")  # else no copy: far longer, and asks nothing
             ql, al = (_only_letters(q), _only_letters(s)) if near else ("", "")
-            v["copy"] = self._copy(q, s, ql, al, int(n_words[i] - q_words[i])) if near and ql and al else [-1] * 5
-            own = ac[starts[i] : ae[i]]
-            names = [w.word[c] for c in qc[q_starts[i] : qe[i]].tolist() if w.long[c]]
-            v["refusal"] = self._refusal(names, s, own, i, has, int(n_words[i]))
-            v["truncated"] = self._truncated(a, w.word[own[-1]] if len(own) else "", bool(has[BRACKET][i]), v["copy"][3] > 0 or s.endswith("?")) if n_words[i] > 1 and max(v["empty"][:2]) < 1 else [0] * 4
+            v["copy"] = self._copy(q, s, ql, al, n_words[i] - q_words[i]) if near and ql and al else [-1] * 5
+            own = ac[starts[i] : a_ends[i]]
+            names = [word[c] for c in q_codes[q_starts[i] : q_ends[i]] if long[c]]
+            v["refusal"] = self._refusal(names, s, own, i, has, n_words[i])
+            v["truncated"] = self._truncated(a, word[own[-1]] if len(own) else "", has[BRACKET][i], v["copy"][3] > 0 or s.endswith("?")) if n_words[i] > 1 and max(v["empty"][:2]) < 1 else [0] * 4
             v["wrong_language"] = self._wrong_language(questions[i] or "", s, told_q[i], told_a[i])
             out.append(v)
         return out
@@ -501,7 +506,7 @@ class Voter:
     def _refusal(self, names: list[str], s: str, own: np.ndarray, i: int, has: dict, n_words: int) -> list[int]:
         """A stock phrase; first person and negation; no figures or quotations; none of the question's names; brevity."""
         bare = not (has[DIGIT][i] or has[QUOTE][i])
-        person, negation, phrase = bool(has[PERSON][i]), bool(has[NEGATION_WORD][i]), False
+        person, negation, phrase = has[PERSON][i], has[NEGATION_WORD][i], False
         if has[PHRASE][i] or BARE:
             w = self.words
             likely = set(BARE).union(*(w.phrases[c] for c in own[w.flags[own] & PHRASE > 0].tolist()))

@@ -72,3 +72,12 @@ def test_documents_and_lines(spark, net):
     doc = {x["ord"]: x for x in out.filter("seg_no = 0").collect()}
     assert len(doc) == 11 and doc[7]["lang"] is None and doc[9]["confidence"] == 0 and 0.5 < doc[1]["confidence"] <= 1
     assert languages(df.limit(0), net).count() == 0
+
+
+def test_languages_come_from_the_samples(spark):
+    r = random.Random(3)
+    rows = [(lang, sentence(lang, r)) for lang in ("de", "fr") for _ in range(12)] + [("en", "too few samples")]
+    own = train(spark.createDataFrame(rows, "lang string, text string"), hidden=6, steps=90)
+    assert own.langs == ("de", "fr") and own.pooled([b"der die das"])[0].shape == (1, 2)
+    df = spark.createDataFrame([(1, None, sentence("fr", r)), (2, "de", sentence("de", r))], "ord bigint, lang string, text string")
+    assert [(x["ord"], x["lang"]) for x in label_errors(languages(df, own)).collect()] == [(1, "fr")]
