@@ -92,6 +92,7 @@ def markdown(x: str) -> str:
     def marks(c: str) -> str:
         return f"{c}{{3}}((?:[^{c}]|{c}[^{c}]|{c}{c}[^{c}])(?s:.*?)){c}{{3}}|{c}{{2}}((?:[^{c}]|{c}[^{c}])(?s:.*?)){c}{{2}}|{c}([^{c}]+?){c}"
 
+    # fixed values: the patterns and their order
     rules = [
         (r"```(?s:.*?)```", ""), (r"~~~(?s:.*?)~~~", ""), (r"`[^`\n]+`", ""), (r"!\[.*?\]\(.*?\)", ""), (r"\[([^\]]+)\]\([^\)]+\)", r"\1"), (r"<[^>]+>", ""), (rf"(?m)^#{{1,6}}{WS}+", ""), (rf"(?m)^[=]{{3,}}{WS}*$", ""), (rf"(?m)^[-]{{3,}}{WS}*$", ""),
         (marks(r"[*]").replace("[^[*]]", "[^*]"), r"\1\2\3"), (marks("_"), r"\1\2\3"), (rf"(?m)^[*_]{{3,}}{WS}*$", ""), (rf"(?m)^>{WS}?", ""), (r"(?m)^\.\. [\pL\pN_][\pL\pN_-]*::", ""), (r"\n{3,}", "\n\n"),
@@ -124,6 +125,7 @@ parsed AS (SELECT * FROM pairs WHERE length(instruction) >= 10 AND length(output
 BAR = r"\x{f0000}"
 SPACE = r"[\s\x{0b}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 NO_SPACE = SPACE.replace("[", "[^", 1)
+#: Fixed value: how a public tokenizer cuts texts into pieces.
 SPLIT = rf"'(?:s|t|re|ve|m|ll|d)| ?\pL+| ?\pN+| ?{NO_SPACE[:-1]}\pL\pN{BAR}]+|{SPACE}+"
 
 
