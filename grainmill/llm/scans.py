@@ -3,20 +3,23 @@
 from __future__ import annotations
 
 import re
-from collections import ChainMap, Counter
+import zlib
+from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from grainmill.llm.keys import key_filter
 from grainmill.runtime import join_checked, join_salted, materialize
 
 #: A form counts as established if it occurs in so many files, at any number of files.
 LEAST_FILES = 3
-#: Forms of this share of the files are broadcast: at most the words of an average file divided by it. What a file needs of
-#: the rarer ones is joined to it.
+#: Forms of this share of the files are broadcast: at most the words of an average file divided by it. What a file can look up of
+#: the rarer ones is joined to it, so that the result is the same for any share.
 BROADCAST_SHARE = 0.002
 #: A short line at the top of a page is a running title if its pattern, figures and names masked, is met there in so many
 #: files, at so many tops for each time that it is met elsewhere, and if it is what most tops with its first two words are:
@@ -95,6 +98,23 @@ class _Tokens(dict):
         return out
 
 
+class _Over(dict):
+    """Entries before those of another dictionary, which is not copied."""
+
+    def __init__(self, own: dict, base: dict):
+        super().__init__(own)
+        self.base = base
+
+    def __missing__(self, k):
+        return self.base[k]
+
+    def __contains__(self, k) -> bool:
+        return dict.__contains__(self, k) or k in self.base
+
+    def get(self, k, default=None):
+        return self[k] if dict.__contains__(self, k) else self.base.get(k, default)
+
+
 class Reader:
     """Classifies the lines of a file, under the established word forms of all files."""
 
@@ -115,37 +135,45 @@ class Reader:
         self.sound: dict[str, tuple[bool, frozenset[str]]] = {}
         self.strokes: dict[str, str] = {}
         self.parts = _Tokens()
-        self.touched: frozenset[str] = frozenset()
+        self.touched: dict[str, str] = {}
         self.more_known: set[str] = set()
         self.more_begun: set[str] = set()
         self.base = self
 
-    def _sound(self, token: str) -> tuple[bool, frozenset[str], str]:
+    def _sound(self, token: str) -> tuple[bool, frozenset[str], str, tuple[tuple[str, str], ...]]:
         """Whether a token between blanks is surely read right, whatever word is before it; the strokes by which further forms would
-        change that; and the token, if it may be the first part of a word with a gap in it."""
+        change that; the token, if it may be the first part of a word with a gap in it; and the strokes with the words they are of."""
         core = token.strip(TRIM)
         parts = core.split("-") if "-" in core.strip("-") else (core,)
         strokes = [self.stroke(part) for part in parts]
         sound = not any(k in self.several and not self._settled(part, k) or self._misread(part, "") for part, k in zip(parts, strokes))
-        return sound, frozenset(strokes), core if core == token and core.isalpha() else ""
+        of = [*zip(strokes, (part.lower() for part in parts)), *((k, "") for part in parts for k in self.keys(part)[1:])]
+        return sound, frozenset(k for k, _ in of), core if core == token and core.isalpha() else "", tuple(of)
 
     def _settled(self, word: str, stroke: str) -> bool:
         """Whether no other word of these strokes is so much more frequent that this one could be its misreading."""
         own = self.forms.get(word, 0)
         return own > 0 and all(self.forms[x] < RATIO * own for x in self.groups[stroke] if x.lower() != word.lower())
 
+    def _token(self, t: str) -> tuple[bool, str]:
+        """Whether a token is surely read right under all forms, and the first part of a word that it may be."""
+        known = self.sound.get(t)
+        if known is None:
+            if len(self.sound) > 300_000:
+                self.sound.clear()
+            known = self.sound[t] = self.base._sound(t)
+        touched = self.touched
+        if known[0] and touched and not known[1].isdisjoint(touched):
+            return all(touched.get(k, low) == low for k, low in known[3]), known[2]
+        return known[0], known[2]
+
     def _all_sound(self, line: str) -> bool:
-        sound, touched, begun, more = self.sound, self.touched, self.begun, self.more_begun
+        begun, more = self.begun, self.more_begun
         tokens = line.split()
         for i, t in enumerate(tokens, 1):
-            known = sound.get(t)
-            if known is None:
-                if len(sound) > 300_000:
-                    sound.clear()
-                known = sound[t] = self.base._sound(t)
-            if not known[0] or (touched and not touched.isdisjoint(known[1])):
+            sound, first = self._token(t)
+            if not sound:
                 return False
-            first = known[2]
             if first and i < len(tokens) and (first in begun or first in more):
                 whole = first + tokens[i].strip(TRIM)
                 if whole in self.forms or whole[:1].lower() + whole[1:] in self.forms:
@@ -153,25 +181,20 @@ class Reader:
         return True
 
     def with_forms(self, more: list[tuple[str, int]]) -> Reader:
-        """A reader that knows further forms, but for those that a far more frequent form of the same strokes makes misreadings."""
+        """A reader that knows further forms, and further pairs of words."""
         out = Reader.__new__(Reader)
         out.__dict__.update(self.__dict__)
-        new: dict[str, int] = {}
-        alike: dict[str, list[tuple[str, int]]] = {}
-        for w, n in more:
-            alike.setdefault(self.stroke(w), []).append((w, n))
-        for k, ws in alike.items():
-            all_ = [*ws, *((x, self.forms[x]) for x in self.groups.get(k, ()))]
-            new.update({w: n for w, n in ws if max((m for x, m in all_ if x.lower() != w.lower()), default=0) < RATIO * n})
-        if not new:
-            return self
-        out.forms, out.groups = ChainMap(new, self.forms), ChainMap({}, self.groups)
+        new = {w: n for w, n in more if " " not in w}
+        out.forms, out.groups = _Over(new, self.forms), _Over({}, self.groups)
+        out.pairs = _Over({w: n for w, n in more if " " in w or "-" in w}, self.pairs)
         out.more_known = {x for w in new for x in (w.lower(), w.lower().replace("ß", "ss"))}
         for w in new:
             if len(w) > 1 and not any(c.isdigit() for c in w):
                 k = self.stroke(w)
                 out.groups[k] = [*out.groups.get(k, ()), w]
-        out.touched = frozenset(map(self.stroke, new))
+        #: strokes of further forms, with the word if there is but one: that one itself stays as it is
+        out.touched = {k: next(iter(ws)) if len(ws := {x.lower() for x in out.groups.get(k, ())}) == 1 else "" for k in map(self.stroke, new)}
+        out.touched.update({self.stroke(w.lower().replace("ß", "ss")): "" for w in new if "ß" in w})
         out.more_begun = {x[:i] for w in new for x in (w, w[:1].upper() + w[1:]) for i in range(1, len(w))}
         return out
 
@@ -186,16 +209,17 @@ class Reader:
         """The form that a misread word stands for, or None. Among several, the one seen most often after ``before``,
         then the most frequent."""
         own = self.forms.get(word, 0)
-        twins = [w for w in self.groups.get(skeleton(word), ()) if w != word and w.lower() != word.lower()]
+        group = self.groups.get(self.stroke(word), ())
+        twins = [w for w in group if w != word and w.lower() != word.lower()]
         if not twins:
             lower = word[:1].lower() + word[1:]
-            if any(w != word for w in self.groups.get(skeleton(word), ())) and not word.isalpha() and own == 0:
-                return max(self.groups[skeleton(word)], key=lambda w: self.forms[w])
+            if any(w != word for w in group) and not word.isalpha() and own == 0:
+                return max(group, key=lambda w: (self.forms[w], w))
             return None if lower == word or not any(not c.isalpha() for c in word) else self.repaired(lower, before)
         best = max(twins, key=lambda w: (self.pairs.get(f"{before} {w}", 0), self.forms[w], w))
         if self.forms[best] >= RATIO * max(own, 1) or (own == 0 and self.forms[best] >= LEAST_FILES):
             return best
-        top = max(twins, key=lambda w: self.forms[w])
+        top = max(twins, key=lambda w: (self.forms[w], w))
         return top if self.forms[top] >= RATIO * max(own, 1) else None
 
     def established(self, word: str) -> bool:
@@ -270,8 +294,9 @@ class Reader:
                 self._divided(i, nxt, raw, after, kinds, divided_from)
                 k += 1
                 continue
+            sound = self._token(raw)[0]
             for part in core.split("-") if "-" in core.strip("-") else [core]:
-                new = self._misread(part, before)
+                new = None if sound else self._misread(part, before)
                 if new:
                     kinds[i].add("ocr")
                     out[k] = out[k].replace(part, new, 1)
@@ -325,7 +350,7 @@ class Reader:
             if "'" in word or "|" in word:
                 return bare if self.established(bare) and not self.established(word) else self._by_skeleton(word, bare, before)
             return bare if self.established(bare) else self._by_skeleton(word, bare, before)
-        if word in self.forms and self.forms[word] >= 1 and skeleton(word) not in self.groups:
+        if word in self.forms and self.forms[word] >= 1 and self.stroke(word) not in self.groups:
             return None
         return self._by_skeleton(word, word, before)
 
@@ -420,10 +445,15 @@ class Reader:
             out = self.strokes[word] = skeleton(word)
         return out
 
-    def patterns(self, line: str) -> list[str]:
+    def keys(self, word: str) -> tuple[str, ...]:
+        """The strokes under which a word is looked up: its own, and those with a 6 read as an o."""
+        return (self.stroke(word), self.stroke(word.replace("6", "o"))) if "6" in word else (self.stroke(word),)
+
+    def patterns(self, line: str, also: frozenset[str] = frozenset(), unknown: set[str] | None = None) -> list[str]:
         """A line with figures, numbers of pages and capitalised words but the first masked; none if nothing was, or if it is no
         title by its marks. Words are given in strokes, so that misread titles agree. A line in capitals has two patterns, as
-        its short words may be capitalised elsewhere or not."""
+        its short words may be capitalised elsewhere or not; ``also`` holds rarer forms for it, and ``unknown`` receives the words
+        that were looked up in vain."""
         t = line.strip()
         if t[:1].islower() and not ROMAN_FIRST.match(t) or len(t) < 4 or t.endswith((".", ";", ",", *DASHES)) or t.startswith(("- ", "• ", "* ")):
             return []
@@ -432,13 +462,21 @@ class Reader:
             return []
         capitals = t.isupper()
         found = []
+
+        def name(w: str) -> bool:
+            if w in self.forms or w in also:
+                return False
+            if unknown is not None:
+                unknown.add(w)
+            return True
+
         for keep in (True, False) if capitals else (True,):
             out = []
             for w in t.split():
                 core = w.strip(TRIM)
                 if core.isdigit() or FIGURES.fullmatch(core):
                     out.append(w.replace(core, "#"))
-                elif out and core and ((core.lower() not in self.forms or len(out) > 1 and not keep) if capitals else core[0].isupper() or core[0].isdigit()):
+                elif out and core and ((name(core.lower()) or len(out) > 1 and not keep) if capitals else core[0].isupper() or core[0].isdigit()):
                     out.append(w.replace(core, "N"))
                 else:
                     out.append(self.stroke(w))
@@ -456,30 +494,54 @@ class Reader:
                 out.add(i)
         return out
 
-    def wanted(self, text: str) -> set[tuple[str, str]]:
-        """Strokes of words that are not known from the broadcast forms, each with the word in lower case: only another form of these
-        strokes tells something of it. An empty word stands for one divided at a line's end or by a gap, and for one that has
-        a twin among the broadcast forms; these need any form."""
+    def wanted(self, text: str) -> set[str]:
+        """Strokes of every word, and of every two neighbouring words, that ``lines`` may look up and that the broadcast forms do
+        not settle: words that are not among them, those that a gap or a line's end divides, and spaced-out ones. A form among them
+        is read as it stands, and so needs no rarer one."""
         words: set[str] = set()
-        joined: set[str] = set()
-        lines = [line.split() for line in text.split("\n")]
+        pairs: set[tuple[str, str]] = set()
         parts, forms = self.parts, self.forms
-        for i, tokens in enumerate(lines):
-            ws = [w for t in tokens for w in parts[t]]
-            odd = [w if w not in forms and not w.isdigit() else "" for w in ws]
-            words.update(odd)
-            joined.update([a + b for a, b in zip(odd, odd[1:]) if a and b])
-            if tokens and tokens[-1][-1] in DASHES and ws:
-                after = next((x for x in lines[i + 1 :] if x), None)
-                if after:
-                    joined.update(ws[-1] + w for w in parts[after[0]][:1])
-        out = {(self.stroke(w), "") for w in joined if len(w) > 2 and w not in forms}
-        for w in words:
-            if len(w) > 2:
-                k, low = self.stroke(w), w.lower()
-                out.add((k, "" if any(x.lower() != low for x in self.groups.get(k, ())) else low))
+        rows = text.split("\n")
+        for i, line in enumerate(rows):
+            tokens = line.split()
+            before, first, joined, single = "", "", "", False  # the last word, the last token if it may be half a word, the last two as one
+            for t in tokens:
+                whole, core = "", t.strip(TRIM)
+                single = single or len(t) == 1
+                if first and core.isalpha():
+                    whole = first + core
+                    if first not in forms or core not in forms:
+                        words.add(whole)
+                for w in parts[t]:
+                    if w not in forms and not w.isdigit():
+                        words.add(w)
+                        pairs.add((before, w))
+                        pairs.add((joined, w))
+                    before, joined = w, ""
+                first, joined = core if core == t and core.isalpha() else "", whole
+            if tokens and tokens[-1][-1] in DASHES:
+                self._halves(rows, i, words)
+            if (single or "    " in line) and (s := _unspaced(line.strip())) != line.strip():
+                words.update(words_of(s))
+        out = {k for w in words if w not in forms for k in self.keys(w)}
+        out.update([f"{a} {b}" for x, y in pairs if x and len(y) > 1 for a in self.keys(x) for b in self.keys(y)])
         return out
 
+    def _halves(self, rows: list[str], i: int, words: set[str]) -> None:
+        """Adds what is looked up of a word that is divided at the end of a line, for each line that it may go on in: those up to
+        the first one that cannot be furniture."""
+        s = rows[i].rstrip()
+        first = re.split(r"[\s\-\u00ad\u2010\u00ac=]", s[:-1])[-1].lstrip(TRIM)
+        head = s.split()[-1].rstrip(DASHES).lstrip(TRIM).split("-")[-1]
+        for j in range(i + 1, len(rows)):
+            after = rows[j].split()
+            if not after:
+                continue
+            rest = re.split(r"[\-\u00ad\u2010\u00ac=]", after[0])[0].strip(TRIM)
+            words.update((first, rest, first + rest, f"{first}-{rest}", head + after[0].strip(TRIM)))
+            if rows[j - 1].strip() and not NUMBERED.search(rows[j].strip()) and not NUMBERED.search(rows[j - 1].strip()):
+                return
+
     def _named(self, s: str) -> bool:
         """Holds a capitalised word that is not an established form, as a proper name is."""
         return any(w[:1].isupper() and len(w) > 3 and not self.established(w) and not self._misread(w, "") for w in words_of(_unspaced(s)))
@@ -563,13 +625,57 @@ def _counts(c: Counter) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], names=["w", "n"])
 
 
-def _hints(df: DataFrame, reader, counts: DataFrame, least: int, key: str, text: str) -> DataFrame:
-    """``_h, forms, titles``, a row per text by its 128-bit digest: rarer forms with the strokes of words in it, and lines whose
-    pattern is that of running titles.
+def settled_forms(counts: DataFrame) -> DataFrame:
+    """``stroke, w, n``: the words of ``form_counts``, but for those that another word of the same strokes, ``RATIO`` times as
+    frequent, makes misreadings."""
+
+    def strokes(batches):
+        for batch in batches:
+            ws = batch.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([pa.array([skeleton(w) for w in ws], pa.string()), pa.array([w.lower() for w in ws], pa.string()), *batch.columns], names=["stroke", "low", "w", "n"])
+
+    words = counts.filter(~F.col("w").contains(" ")).select("w", "n").mapInArrow(strokes, "stroke string, low string, w string, n bigint")
+    alike = words.groupBy("stroke").agg(F.collect_list(F.struct("w", "n", "low")).alias("ws"))  # the forms of equal strokes, a handful
+
+    def stronger(x: Column, y: Column) -> Column:
+        return (y["low"] != x["low"]) & (y["n"] >= RATIO * x["n"]) & (F.length(x["w"]) > 1) & (F.length(y["w"]) > 1)
+
+    return alike.select("stroke", F.explode(F.filter("ws", lambda x: ~F.exists("ws", lambda y: stronger(x, y)))).alias("x")).select("stroke", "x.w", "x.n")
 
-    Strokes and patterns are joined with counts over all files; no form or title is cut off by a share of the files.
+
+def _keyed(rare: DataFrame, counts: DataFrame, least: int) -> DataFrame:
+    """``stroke, w, n, hash``: rarer forms and pairs by the strokes under which they are looked up."""
+
+    def strokes(batches):
+        for batch in batches:
+            rows = []
+            for w, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                rows.append((" ".join(map(skeleton, w.split(" "))), w, n))
+                if "ß" in w and " " not in w:  # known by its other spelling too
+                    rows.append((skeleton(w.lower().replace("ß", "ss")), w, n))
+            c = list(zip(*rows)) if rows else [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.string()), pa.array(c[1], pa.string()), pa.array(c[2], pa.int64()), pa.array(_hashes(c[0]))], names=["stroke", "w", "n", "hash"])
+
+    pairs = counts.filter((F.col("n") < least) & F.col("w").contains(" ")).select("w", "n")
+    return rare.unionByName(pairs).mapInArrow(strokes, "stroke string, w string, n bigint, hash bigint")
+
+
+def _hashes(keys: list[str]) -> np.ndarray:
+    return np.array([zlib.crc32(k.encode()) for k in keys], dtype=np.int64)
+
+
+def _hints(df: DataFrame, reader, counts: DataFrame, settled: DataFrame, least: int, text: str) -> DataFrame:
+    """``_h, forms, titles``, a row per text by its 128-bit digest: rarer forms and pairs with the strokes of words in it, and lines
+    whose pattern is that of running titles.
+
+    Strokes and patterns are joined with counts over all files; no form, pair or title is cut off by a share of the files.
     """
-    schema = "_h binary, stroke string, word string, line int, top boolean"
+    schema = "_h binary, stroke string, word string, line int, top boolean, words array<string>"
+    rarer = least > LEAST_FILES
+    rare = settled.filter(F.col("n") < least).select("w", "n")
+    if rarer:
+        keyed = materialize(_keyed(rare, counts, least))
+        wanted = df.sparkSession.sparkContext.broadcast(key_filter(keyed.select("hash")))  # 2 MB
 
     def ask(batches):
         r = reader.value
@@ -580,33 +686,52 @@ def _hints(df: DataFrame, reader, counts: DataFrame, least: int, key: str, text:
                 tops = r.tops(lines)
                 for i, line in enumerate(lines):
                     if i in tops or len(line) < 60:
-                        rows += [(h, p, None, i, i in tops) for p in r.patterns(line)]
-                rows += [(h, s, w, -1, False) for s, w in r.wanted(t)] if least > LEAST_FILES else []
-            c = list(zip(*rows)) if rows else [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.binary()), pa.array(c[1], pa.string()), pa.array(c[2], pa.string()), pa.array(c[3], pa.int32()), pa.array(c[4], pa.bool_())], names=["_h", "stroke", "word", "line", "top"])
+                        unknown: set[str] = set()
+                        found = r.patterns(line, unknown=unknown)
+                        if rarer and unknown:
+                            rows.append((h, None, line, i, i in tops, list(unknown)))
+                        else:
+                            rows += [(h, p, None, i, i in tops, None) for p in found]
+                if rarer and (keys := list(r.wanted(t))):
+                    rows += [(h, keys[i], None, -1, False, None) for i in np.flatnonzero(wanted.value(_hashes(keys)))]
+            c = list(zip(*rows)) if rows else [[]] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.binary()), pa.array(c[1], pa.string()), pa.array(c[2], pa.string()), pa.array(c[3], pa.int32()), pa.array(c[4], pa.bool_()), pa.array(c[5], pa.list_(pa.string()))], names=["_h", "stroke", "word", "line", "top", "words"])
 
     asked = materialize(df.select(_digest(text), F.col(text).cast("string")).filter(F.length(text) > 0).mapInArrow(ask, schema))
-    lines = asked.filter("line >= 0")
+    lines = asked.filter("line >= 0 and words is null").select("_h", "stroke", "line", "top")
+    if rarer:
+        lines = lines.unionByName(_in_capitals(asked.filter("words is not null"), rare, reader))
     title = lines.groupBy("stroke").agg(F.count_distinct(F.when(F.col("top"), F.col("_h"))).alias("files"), F.count_if("top").alias("tops"), F.count_if(~F.col("top")).alias("others"))
     title = title.withColumn("begin", F.substring_index("stroke", " ", 2))
     alike = title.groupBy("begin").agg(F.sum("tops").alias("all_tops"))
     title = title.filter((F.col("files") >= LEAST_TITLES) & (F.col("tops") >= TOPS * F.col("others"))).join(alike, "begin").filter(F.col("tops") >= MOST * F.col("all_tops")).select("stroke")
     titles = join_salted(lines.filter("top"), title, "stroke", "_h").groupBy("_h").agg(F.array_sort(F.collect_set("line")).alias("titles"))
-    if least <= LEAST_FILES:
+    if not rarer:
         return titles.withColumn("forms", F.lit(None).cast("array<struct<w:string,n:bigint>>"))
 
-    def strokes(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([skeleton(w) for w in batch.column(0).to_pylist()], pa.string()), *batch.columns], names=["stroke", "w", "n"])
-
-    rare = counts.filter((F.col("n") < least) & ~F.col("w").contains(" ") & ~F.col("w").contains("-")).select("w", "n").mapInArrow(strokes, "stroke string, w string, n bigint")
-    rare = rare.groupBy("stroke").agg(F.collect_list(F.struct("w", "n")).alias("ws"))  # the forms of equal strokes, a handful
-    asked = join_salted(asked.filter("line < 0").select("_h", "stroke", "word"), rare, "stroke", "_h")
-    asked = asked.filter(F.exists("ws", lambda x: F.lower(x["w"]) != F.col("word")))
+    alike = keyed.groupBy("stroke").agg(F.collect_list(F.struct("w", "n")).alias("ws"))  # the forms of equal strokes, a handful
+    asked = join_salted(asked.filter("line < 0").select("_h", "stroke"), alike, "stroke", "_h")
     forms = asked.groupBy("_h").agg(F.array_distinct(F.flatten(F.collect_set("ws"))).alias("forms"))
     return forms.join(titles, "_h", "full")
 
 
+def _in_capitals(asked: DataFrame, rare: DataFrame, reader) -> DataFrame:
+    """``_h, stroke, line, top``: patterns of lines in capitals, whose words are masked unless they are a form, a rarer one too."""
+
+    def read(batches):
+        r = reader.value
+        for batch in batches:
+            rows = [(h, p, i, top) for h, line, i, top, also in zip(*(c.to_pylist() for c in batch.columns)) for p in r.patterns(line, frozenset(also))]
+            c = list(zip(*rows)) if rows else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.binary()), pa.array(c[1], pa.string()), pa.array(c[2], pa.int32()), pa.array(c[3], pa.bool_())], names=["_h", "stroke", "line", "top"])
+
+    rows = asked.select("_h", "word", "line", "top", "words", F.monotonically_increasing_id().alias("_id"))  # repeated files count each
+    rows = rows.select("_h", "word", "line", "top", "_id", F.explode("words").alias("w"))
+    rows = join_salted(rows, rare.select("w", F.lit(True).alias("met")), "w", "_id", "left")
+    rows = rows.groupBy("_id").agg(*(F.any_value(c).alias(c) for c in ("_h", "word", "line", "top")), F.collect_set(F.when(F.col("met"), F.col("w"))).alias("also"))
+    return rows.select("_h", "word", "line", "top", "also").mapInArrow(read, "_h binary, stroke string, line int, top boolean")
+
+
 def _digest(text: str) -> Column:
     return F.unhex(F.md5(F.col(text).cast("string"))).alias("_h")
 
@@ -619,16 +744,19 @@ def read_lines(df: DataFrame, key: str = "pdf_no", text: str = "text", title: st
     """``key, line_no, kinds, line, repaired``: every line of every text, with its kinds (``header``, ``page_number``,
     ``hyphen``, ``ocr``) and with misread words repaired.
 
-    Passes over the texts count forms, ask for rarer forms and patterns of titles, and read each file by itself. A null
+    Passes over the texts count forms, ask for rarer forms and patterns of titles, and read each file by itself. How many forms
+    are broadcast depends on the number of files; the result does not, as a file is given all others that it can look up. A null
     text has no lines; an empty one has one empty line. Repeated files are read each. Null titles and stems are no evidence.
     """
     n = df.filter(F.length(text) > 0).count()
     least = max(LEAST_FILES, int(BROADCAST_SHARE * n))
     counts = materialize(form_counts(df, text))
-    rows = counts.filter(F.col("n") >= least).collect()  # bounded by the share
-    reader = Reader({r["w"]: r["n"] for r in rows if " " not in r["w"]}, {r["w"]: r["n"] for r in rows if " " in r["w"] or "-" in r["w"]})
+    settled = materialize(settled_forms(counts))
+    forms = {r["w"]: r["n"] for r in settled.filter(F.col("n") >= least).collect()}  # bounded by the share
+    pairs = {r["w"]: r["n"] for r in counts.filter((F.col("n") >= least) & F.col("w").contains(" ")).collect()}
+    reader = Reader(forms, pairs | {w: n for w, n in forms.items() if "-" in w})
     shared = df.sparkSession.sparkContext.broadcast(reader)
-    hints = materialize(_hints(df, shared, counts, least, key, text))
+    hints = materialize(_hints(df, shared, counts, settled, least, text))
     schema = df.select(key).schema.add("line_no", "integer").add("kinds", T.ArrayType(T.StringType())).add("line", "string").add("repaired", "string")
 
     def read(batches):

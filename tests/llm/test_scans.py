@@ -71,3 +71,24 @@ def test_series_titles_are_found_by_their_pattern(spark):
     rows += [(20 + i, f"Heute sagt man: {body}\n\nDort {body}", None, None) for i in range(7)]
     df = spark.createDataFrame(rows, "pdf_no bigint, text string, title string, id string")
     assert [r for r in kinds_of(df) if r[2] == "header"] == [(i, 1, "header") for i in range(7)]
+
+
+def test_the_share_that_is_broadcast_changes_nothing(spark, monkeypatch):
+    """Rarer words, pairs of words and words with a hyphen count as frequent ones do, at any number of files."""
+    texts = ["Das Moor ist nass und der Weg durch das Tal ist lang."] * 30
+    texts += ["Die Moorleitung liegt hier."] * 3 + ["Die Moor leitung liegt hier."]  # a gap behind a frequent word
+    texts += ["Sie kam sehr tief zum Rand."] * 4 + ["Sie kam sehr fief zum Rand."] * 3 + ["Sie kam sehr t1ef zum Rand."]  # the word before decides
+    texts += ["Man fuhr in Nord-Süd oft."] * 3 + ["Man fuhr in Nord-\nSüd oft."]  # no divided word
+    texts += ["Die Hofstraße ruht."] * 3 + ["Die Hofstras^se ruht."]  # known by another spelling
+    texts += ["Ein Protokoll ruht."] * 3 + ["Ein Pr6fokoll ruht."]
+    texts += ["wie die berichte sagen"] * 3 + [f"BERICHTE AUS {x}, HEFT {i + 3}\ndas Tal ist lang und nass, so sagt man dort." for i, x in enumerate(("KALOLECK", "OSTIMOND", "GARERF", "HULEMIN", "TORAWYN"))]
+    df = spark.createDataFrame(list(enumerate(texts)), "pdf_no bigint, text string").selectExpr("*", "string(null) as title", "string(null) as id")
+    seen = {}
+    for share in (0.002, 0.1, 0.5):
+        monkeypatch.setattr(scans, "BROADCAST_SHARE", share)
+        seen[share] = sorted((r["pdf_no"], r["line_no"], tuple(r["kinds"]), r["repaired"]) for r in scans.read_lines(df).collect())
+    assert (33, 1, ("ocr",), "Die Moorleitung liegt hier.") in seen[0.002]
+    assert (41, 1, ("ocr",), "Sie kam sehr tief zum Rand.") in seen[0.002]
+    assert (45, 1, (), "Man fuhr in Nord-") in seen[0.002]
+    assert (49, 1, ("ocr",), "Die Hofstrasse ruht.") in seen[0.002] and (53, 1, ("ocr",), "Ein Protokoll ruht.") in seen[0.002]
+    assert seen[0.1] == seen[0.002] and seen[0.5] == seen[0.002]
