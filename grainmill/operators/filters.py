@@ -30,9 +30,10 @@ def not_blank(df: DataFrame, text: str = "text") -> DataFrame:
     return df.filter(py_strip(text) != "")
 
 
-def of_source(df: DataFrame, name: str | None, source: str = "source") -> DataFrame:
-    """Rows of one of ``SOURCES``, however its label is spelled; with None those whose label is missing or names no source."""
-    label = F.lower(py_strip(source))
+def of_source(df: DataFrame, name: str | None, source: str = "source", exact: bool = False) -> DataFrame:
+    """Rows of one of ``SOURCES``, however its label is spelled, unless ``exact``; with None those whose label is missing or names
+    no source."""
+    label = F.col(source) if exact else F.lower(py_strip(source))
     return df.filter(label == name if name else ~F.coalesce(label.isin(*SOURCES), F.lit(False)))
 
 

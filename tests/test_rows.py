@@ -118,3 +118,16 @@ def test_every_spelling_of_a_source(spark, tmp_path):
     assert sorted((r["ord"], r["source"]) for r in queries.markdown_records(spark, d).collect()) == [(i, "markdown") for i in (7, 8, 9)]
     got = {r["source_rank"]: tuple(r)[1:] for r in queries.union_sources(spark, d).collect()}
     assert got == {0: (4, 4, 0, 0), 1: (3, 0, 3, 4), 2: (3, 0, 3, 7), 3: (3, 3, 3, 10)}
+
+
+def labelled(spark, d):
+    labels = ["wikipedia", "WIKIPEDIA", "wikipedia ", "pdf", "PDF", "markdown", "Markdown", None, "web"]
+    rows = [(i, f"i{i}", "t", f"u{i}", "x" * 200, s, "de", f"a/f{i}.md") for i, s in enumerate(labels)]
+    spark.createDataFrame(rows, "ord bigint, id string, title string, url string, text string, source string, lang string, file string").write.parquet(f"{d}/corpus.parquet")
+
+
+def test_the_query_of_wiki_min_length_agrees_with_its_sql(spark, tmp_path):
+    from grainmill.plans import queries
+
+    labelled(spark, tmp_path)
+    assert [r["ord"] for r in queries.queries()["wiki_min_length"](spark, str(tmp_path)).collect()] == [0]
